@@ -1 +1,217 @@
-QUERIES = []
+"""Integrity checks over whole tables. The given tables hold real violations of most rules."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from dimstar.functions.numeric import percent
+from dimstar.operators import dims, facts, quality
+from dimstar.registry.base import Query, rounded
+from dimstar.sources import adapter as ad
+from dimstar.sources.adapter import SalesStar
+
+LIMITS = {"p_name": 8, "p_brand": 7, "p_type": 6}
+NULLABLE = ["effective_date", "expiration_date", "segment", "specialty"]
+
+
+def null_report(s: SalesStar) -> DataFrame:
+    return quality.null_counts(s["dim_hcp"], NULLABLE)
+
+
+def loose_weights(s: SalesStar) -> DataFrame:
+    """Rounded shares of the five largest reps, before the remainder is placed."""
+    totals = s["sales"].groupBy("custkey", "suppkey").agg(F.sum("qty").alias("qty"))
+    top = facts.top_members(totals, ["custkey"], "suppkey", "qty", 5)
+    whole = s["sales"].groupBy("custkey").agg(F.sum("qty").alias("all_qty"))
+    share = F.col("qty").cast("decimal(20,0)") / F.col("all_qty").cast("decimal(20,0)")
+    return top.join(whole, "custkey").withColumn(
+        "credit_split_weight", F.round(share, 3).cast("decimal(4,3)")
+    )
+
+
+LOOSE_SQL = f"""(SELECT custkey, suppkey, {rounded('qty', 'all_qty', 3)} AS credit_split_weight
+  FROM (SELECT custkey, suppkey, qty, row_number() OVER (PARTITION BY custkey
+               ORDER BY qty DESC, suppkey) AS r, sum(qty) OVER (PARTITION BY custkey) AS all_qty
+        FROM (SELECT custkey, suppkey, sum(qty) AS qty FROM sales GROUP BY ALL)) WHERE r <= 5)"""
+
+
+def shifted_versions(s: SalesStar) -> DataFrame:
+    """Tier versions as a careless load would store them: expiry one day late for tier A,
+    one day early for tier C, and never set for tier D."""
+    end, tier = F.col("expiration_date"), F.col("segment")
+    return ad.hcp_versions(s).withColumn(
+        "expiration_date",
+        F.when(tier == "A", F.date_add(end, 1))
+        .when(tier == "C", F.date_sub(end, 1))
+        .when(tier == "D", F.lit(None).cast("date"))
+        .otherwise(end),
+    )
+
+
+def drifted_rollup(s: SalesStar) -> DataFrame:
+    """The rollup of the loaded batches against the one of the corrected fact."""
+    keys = ["month_key", "territory_rollup_key", "product_key"]
+    month = F.trunc("week_end_date_key", "month").alias("month_key")
+    place = F.col("territory_key").alias("territory_rollup_key")
+    measures = ["total_units", "source_row_count"]
+    aggs = [F.sum("total_units").alias("total_units"), F.count(F.lit(1)).alias("source_row_count")]
+    stored = s["rx_with_batches"].groupBy(month, place, "product_key").agg(*aggs)
+    rebuilt = s["fct_prescription_territory_monthly"].select(*keys, *measures)
+    return quality.rollup_drift(stored, rebuilt, keys, measures)
+
+
+def audit_against_lines(s: SalesStar) -> DataFrame:
+    """Order headers as the audit (lines expected by priority) against the lines that exist."""
+    orders = s.raw("orders").select(
+        F.col("o_orderkey").alias("audit_key"),
+        F.col("o_orderpriority").substr(1, 1).cast("bigint").alias("source_row_count"),
+    )
+    audit = orders.withColumn("loaded_row_count", F.col("source_row_count"))
+    lines = s.raw("lineitem").select(F.col("l_orderkey").alias("audit_key"))
+    return quality.row_count_mismatch(lines, audit)
+
+
+def stored_price(s: SalesStar) -> DataFrame:
+    """Share of new prescriptions, stored one point too high where the week sold many units."""
+    rx = s["fct_prescription_weekly"]
+    new, total = F.col("new_rx_count"), F.col("total_rx_count")
+    too_high = F.when(F.col("total_units") > 300, 1).otherwise(0)
+    rows = rx.withColumn("stored_pct", percent(new, total, 2) + too_high)
+    return quality.stored_ratio_mismatch(rows, "stored_pct", new, total)
+
+
+QUERIES = [
+    Query(
+        "c_unique",
+        "l_orderkey:i l_linenumber:i row_count:i",
+        lambda s: quality.duplicate_grain(s.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
+        "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY ALL "
+        "HAVING count(*) > 1",
+    ),
+    Query(
+        "c_foreign_key",
+        "hcp_key:i product_key:i week_end_date_key:t",
+        # Against current versions alone: the facts a current-row join would lose.
+        lambda s: quality.orphans(
+            s["fct_prescription_weekly"], dims.current_rows(s["dim_hcp"]), "hcp_key", "hcp_key"
+        ),
+        "SELECT * FROM fct_prescription_weekly WHERE hcp_key NOT IN (SELECT hcp_key FROM dim_hcp "
+        "WHERE is_current)",
+    ),
+    Query(
+        "c_orphan_orders",
+        "o_orderkey:i o_custkey:i",
+        lambda s: quality.orphans(s.raw("orders"), s.raw("lineitem"), "o_orderkey", "l_orderkey"),
+        "SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE "
+        "l_orderkey = o_orderkey)",
+    ),
+    Query(
+        "c_not_null",
+        "column_name:s null_rows:i",
+        null_report,
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_rows FROM dim_hcp"
+            for c in NULLABLE
+        ),
+    ),
+    Query(
+        "c_weight_range",
+        "custkey:i suppkey:i credit_split_weight:d",
+        lambda s: quality.weight_range(
+            loose_weights(s).withColumn(
+                "credit_split_weight", F.col("credit_split_weight") * 4
+            )
+        ),
+        f"SELECT custkey, suppkey, credit_split_weight * 4 AS credit_split_weight FROM "
+        f"{LOOSE_SQL} WHERE credit_split_weight * 4 > 1 OR credit_split_weight <= 0",
+    ),
+    Query(
+        "c_weight_sum",
+        "custkey:i weight_milli:i",
+        lambda s: quality.weight_sums(loose_weights(s), ["custkey"]).withColumn(
+            "weight_milli", F.col("weight_sum") * 1000
+        ),
+        f"SELECT custkey, sum(CAST(round(credit_split_weight * 1000) AS BIGINT)) AS weight_milli "
+        f"FROM {LOOSE_SQL} GROUP BY custkey HAVING "
+        f"sum(CAST(round(credit_split_weight * 1000) AS BIGINT)) <> 1000",
+    ),
+    Query(
+        "c_length",
+        "column_name:s max_length:i rows_over:i longest:i",
+        lambda s: quality.too_long(s.raw("part"), LIMITS),
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, {n} AS max_length, count(*) AS rows_over, "
+            f"(SELECT max(length({c})) FROM part) AS longest FROM part WHERE length({c}) > {n} "
+            f"HAVING count(*) > 0"
+            for c, n in LIMITS.items()
+        ),
+    ),
+    Query(
+        "c_fixed_width",
+        "p_partkey:i p_brand:s",
+        lambda s: quality.not_fixed_width(s.raw("part"), "p_brand", 8),
+        "SELECT p_partkey, p_brand FROM part WHERE length(p_brand) <> 8",
+    ),
+    Query(
+        "c_soft_fk",
+        "hcp_key:i product_key:i week_end_date_key:t group_key:i",
+        lambda s: quality.orphans(
+            s["shared_rx"],
+            s["bridge_hcp_rep_alignment"].filter("group_key % 7 <> 0"),
+            "group_key",
+            "group_key",
+            soft=True,
+        ),
+        "SELECT w.hcp_key, product_key, week_end_date_key, group_key FROM fct_prescription_weekly "
+        "w JOIN (SELECT DISTINCT hcp_key, group_key FROM bridge) b ON w.hcp_key = b.hcp_key WHERE "
+        "group_key NOT IN (SELECT group_key FROM bridge WHERE group_key % 7 <> 0)",
+    ),
+    Query(
+        "c_row_counts",
+        "audit_key:i source_row_count:i fact_row_count:i",
+        audit_against_lines,
+        "SELECT * FROM (SELECT o_orderkey AS audit_key, CAST(substr(o_orderpriority, 1, 1) AS "
+        "BIGINT) AS source_row_count, coalesce(n, 0) AS fact_row_count FROM orders LEFT JOIN "
+        "(SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey) "
+        "WHERE source_row_count <> fact_row_count",
+    ),
+    Query(
+        "c_scd_health",
+        "custkey:i version:i segment:s problem:s",
+        lambda s: quality.scd_problems(shifted_versions(s), "custkey"),
+        "SELECT custkey, version, segment, CASE segment WHEN 'A' THEN 'overlap' WHEN 'D' THEN "
+        "'overlap' ELSE 'gap' END AS problem FROM hcp_versions WHERE NOT is_current AND segment "
+        "IN ('A', 'C', 'D')",
+    ),
+    Query(
+        "c_domain",
+        "event_type:s row_count:i",
+        lambda s: quality.outside_domain(s.raw("events"), "event_type", ["click", "view"]),
+        "SELECT event_type, count(*) AS row_count FROM events WHERE event_type NOT IN ('click', "
+        "'view') OR event_type IS NULL GROUP BY event_type",
+    ),
+    Query(
+        "c_rollup_drift",
+        "month_key:t territory_rollup_key:i product_key:i stored_total_units:i "
+        "rebuilt_total_units:i stored_source_row_count:i rebuilt_source_row_count:i",
+        drifted_rollup,
+        """SELECT * FROM (SELECT CAST(date_trunc('month', week_end_date_key) AS DATE) AS month_key,
+             territory_key AS territory_rollup_key, product_key,
+             sum(total_units) AS stored_total_units, count(*) AS stored_source_row_count
+           FROM rx_with_batches GROUP BY 1, 2, 3)
+         FULL JOIN (SELECT month_key, territory_key AS territory_rollup_key, product_key,
+             total_units AS rebuilt_total_units, source_row_count AS rebuilt_source_row_count
+           FROM fct_monthly) USING (month_key, territory_rollup_key, product_key)
+         WHERE stored_total_units IS DISTINCT FROM rebuilt_total_units
+            OR stored_source_row_count IS DISTINCT FROM rebuilt_source_row_count""",
+    ),
+    Query(
+        "c_stored_ratio",
+        "hcp_key:i product_key:i week_end_date_key:t recomputed:d",
+        stored_price,
+        f"SELECT hcp_key, product_key, week_end_date_key, "
+        f"{rounded('new_rx_count', 'total_rx_count', 2, 100)} AS recomputed "
+        f"FROM fct_prescription_weekly WHERE total_units > 300",
+    ),
+]

@@ -10,7 +10,6 @@ from dimstar.sources import adapter as ad
 
 BAD = ("BATCH-BAD", ad.BAD_WEEK)
 FIX = ("BATCH-FIX", ad.BAD_WEEK + datetime.timedelta(weeks=1))
-QUARTER = datetime.date(1999, 2, 1)
 
 
 def _against_prior(value: str, over: str) -> str:
