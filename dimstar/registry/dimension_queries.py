@@ -77,12 +77,12 @@ def launch_dates(s: SalesStar) -> DataFrame:
 
 
 def tiers(s: SalesStar) -> DataFrame:
-    return scd.scd2(ad.hcp_snapshots(s), "custkey", ["segment"], "snapshot_date")
+    return scd.scd2(s["hcp_snapshots"], "custkey", ["segment"], "snapshot_date")
 
 
 def merged(s: SalesStar) -> DataFrame:
     """The last year arrives as an increment to the dimension built from the years before."""
-    snapshots = ad.hcp_snapshots(s)
+    snapshots = s["hcp_snapshots"]
     day = F.col("snapshot_date")
     before = scd.scd2(snapshots.filter(day < F.lit(MERGE_FROM)), "custkey", ["segment"], "snapshot_date")
     arriving = snapshots.filter(day >= F.lit(MERGE_FROM))
@@ -90,12 +90,12 @@ def merged(s: SalesStar) -> DataFrame:
 
 
 def overlay(s: SalesStar) -> DataFrame:
-    versions = ad.rep_versions(s).select("rep_key", "suppkey", "territory_key", "effective_date")
+    versions = s["rep_versions"].select("rep_key", "suppkey", "territory_key", "effective_date")
     return scd.scd6_overlay(versions, "suppkey", ["territory_key"], "now_")
 
 
 def keyed(s: SalesStar) -> DataFrame:
-    weekly = ad.weekly_sums(s).select("week_end_date_key", "custkey", "brand", "total_rx_count")
+    weekly = s["weekly_sums"].select("week_end_date_key", "custkey", "brand", "total_rx_count")
     return dims.surrogate_key(weekly, ["week_end_date_key", "custkey", "brand"], "prescription_key")
 
 
@@ -266,7 +266,7 @@ QUERIES = [
     Query(
         "d_segment_band",
         "custkey:i snapshot_date:t year_qty:i segment:s",
-        lambda s: ad.hcp_snapshots(s),
+        lambda s: s["hcp_snapshots"],
         "SELECT * FROM hcp_snapshots",
     ),
     Query(

@@ -18,7 +18,7 @@ HORIZON = datetime.date(2001, 8, 1)
 
 
 def yearly_quotas(s: SalesStar) -> DataFrame:
-    return ad.quota_base(s).select("suppkey", "brand", "fiscal_quarter_key", "quota_units")
+    return s["quota_base"].select("suppkey", "brand", "fiscal_quarter_key", "quota_units")
 
 
 def spans(s: SalesStar) -> DataFrame:
@@ -41,7 +41,7 @@ SPANS_SQL = """
 def stamped_sales(s: SalesStar) -> DataFrame:
     """As-was keys for sales per HCP and day, without help from a version column."""
     per_day = s["sales"].groupBy("custkey", "day").agg(F.sum("qty").alias("qty"))
-    return scd.stamp_keys(per_day, ad.hcp_versions(s), "custkey", "day", ["hcp_key", "segment"])
+    return scd.stamp_keys(per_day, s["hcp_versions"], "custkey", "day", ["hcp_key", "segment"])
 
 
 def territory_share(s: SalesStar) -> DataFrame:

@@ -40,7 +40,7 @@ def shifted_versions(s: SalesStar) -> DataFrame:
     """Tier versions as a careless load would store them: expiry one day late for tier A,
     one day early for tier C, and never set for tier D."""
     end, tier = F.col("expiration_date"), F.col("segment")
-    return ad.hcp_versions(s).withColumn(
+    return s["hcp_versions"].withColumn(
         "expiration_date",
         F.when(tier == "A", F.date_add(end, 1))
         .when(tier == "C", F.date_sub(end, 1))

@@ -156,7 +156,7 @@ def versions_at_visits(s: SalesStar) -> DataFrame:
     sales = s["sales"].filter("status = 'F'").groupBy("custkey", "day").agg(
         F.count(F.lit(1)).alias("lines")
     )
-    versions = ad.hcp_versions(s)
+    versions = s["hcp_versions"]
     on = (
         (sales["custkey"] == versions["custkey"])
         & (versions["effective_date"] <= sales["day"])

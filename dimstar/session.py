@@ -22,14 +22,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it back from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and settled tables that all executors can reach.
 
-    Used where two branches must see the very same partitioning even if executors
-    are lost in between. The folder is the one in ``spark.checkpoint.dir``; only a
-    local session without that setting gets a temporary folder.
+    It is the one the cluster names in ``spark.checkpoint.dir``; only a local session
+    without that setting gets a temporary folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -38,4 +36,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="dimstar-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back from there.
+
+    Used where two branches must see the very same partitioning even if executors
+    are lost in between, or where several read what is costly to compute.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

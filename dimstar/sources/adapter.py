@@ -93,7 +93,7 @@ def sales(star: SalesStar) -> DataFrame:
     )
 
 
-def places(star: SalesStar) -> DataFrame:
+def build_places(star: SalesStar) -> DataFrame:
     nation = star.raw("nation").select(
         F.col("n_nationkey").cast("bigint").alias("territory_key"), "n_name", "n_regionkey"
     )
@@ -111,7 +111,7 @@ def places(star: SalesStar) -> DataFrame:
 
 
 def dim_territory(star: SalesStar) -> DataFrame:
-    return places(star).select(
+    return star["places"].select(
         "territory_key",
         F.concat(F.lit("TER-"), F.col("territory_key").cast("string")).alias("territory_code"),
         F.col("n_name").alias("territory_name"),
@@ -138,7 +138,7 @@ def dim_territory_rollup(star: SalesStar) -> DataFrame:
     )
 
 
-def rep_versions(star: SalesStar) -> DataFrame:
+def build_rep_versions(star: SalesStar) -> DataFrame:
     """One version per rep, two for those who moved."""
     home = F.col("s_nationkey").cast("bigint")
     moved = F.pmod(F.col("s_suppkey"), F.lit(10)) == TRANSFER_DIGIT
@@ -183,7 +183,7 @@ def dim_rep(star: SalesStar) -> DataFrame:
         F.col("region_name").alias("region"),
     )
     return (
-        rep_versions(star)
+        star["rep_versions"]
         .join(then, "territory_key", "left")
         .join(now, "current_territory_key", "left")
         .select(
@@ -209,7 +209,7 @@ def dim_rep(star: SalesStar) -> DataFrame:
     )
 
 
-def hcp_snapshots(star: SalesStar) -> DataFrame:
+def build_hcp_snapshots(star: SalesStar) -> DataFrame:
     """Tier of each HCP per fiscal year of sales, from that year's quantity."""
     day = F.col("day")
     yearly = (
@@ -226,13 +226,13 @@ def hcp_snapshots(star: SalesStar) -> DataFrame:
     )
 
 
-def hcp_versions(star: SalesStar) -> DataFrame:
-    versions = scd.scd2(hcp_snapshots(star), "custkey", ["segment"], "snapshot_date")
+def build_hcp_versions(star: SalesStar) -> DataFrame:
+    versions = scd.scd2(star["hcp_snapshots"], "custkey", ["segment"], "snapshot_date")
     return versions.withColumn("hcp_key", F.col("custkey") * 100 + F.col("version"))
 
 
 def dim_hcp(star: SalesStar) -> DataFrame:
-    lifetime = hcp_snapshots(star).groupBy("custkey").agg(F.sum("year_qty").alias("lifetime_qty"))
+    lifetime = star["hcp_snapshots"].groupBy("custkey").agg(F.sum("year_qty").alias("lifetime_qty"))
     step = F.floor((F.col("lifetime_qty") - DECILE_BASE) / DECILE_STEP) + 1
     stored = F.least(F.greatest(step, F.lit(1)), F.lit(10)).cast("short")
     customers = star.raw("customer").select(
@@ -247,7 +247,7 @@ def dim_hcp(star: SalesStar) -> DataFrame:
     people = customers.join(places_, "territory_key", "left")
     number = F.col("custkey").cast("string")
     return (
-        hcp_versions(star)
+        star["hcp_versions"]
         .join(lifetime, "custkey")
         .join(people, "custkey")
         .select(
@@ -331,13 +331,13 @@ def dim_visit_flags(star: SalesStar) -> DataFrame:
 
 def stamp_hcp(star: SalesStar, rows: DataFrame, day: str) -> DataFrame:
     first = F.col("version") == 1
-    return scd.stamp_keys(rows, hcp_versions(star), "custkey", day, ["hcp_key"], is_first=first)
+    return scd.stamp_keys(rows, star["hcp_versions"], "custkey", day, ["hcp_key"], is_first=first)
 
 
 def stamp_rep(star: SalesStar, rows: DataFrame, day: str) -> DataFrame:
     first = F.col("version") == 1
     keys = ["rep_key", "territory_key"]
-    return scd.stamp_keys(rows, rep_versions(star), "suppkey", day, keys, is_first=first)
+    return scd.stamp_keys(rows, star["rep_versions"], "suppkey", day, keys, is_first=first)
 
 
 def fct_hcp_visit(star: SalesStar) -> DataFrame:
@@ -376,7 +376,7 @@ def fct_hcp_visit(star: SalesStar) -> DataFrame:
     )
 
 
-def weekly_sums(star: SalesStar) -> DataFrame:
+def build_weekly_sums(star: SalesStar) -> DataFrame:
     """Summed by week first, so that only the sums meet the dimension."""
     units = F.col("qty") * F.col("line_no")
     return facts.weekly_snapshot(
@@ -396,7 +396,7 @@ def fct_prescription_weekly(star: SalesStar) -> DataFrame:
     """The market of a row is what its HCP wrote of all brands in that week."""
     # At most one row per brand in a window; Catalyst drops it where no report reads it.
     brands = Window.partitionBy("week_end_date_key", "custkey")
-    market = weekly_sums(star).withColumn(
+    market = star["weekly_sums"].withColumn(
         "total_market_units", F.sum("brand_units").over(brands)
     )
     week = F.col("week_end_date_key")
@@ -431,7 +431,7 @@ def shared_rx(star: SalesStar) -> DataFrame:
     )
 
 
-def top_reps(star: SalesStar) -> DataFrame:
+def build_top_reps(star: SalesStar) -> DataFrame:
     """The two reps who sold most to an HCP."""
     totals = star["sales"].groupBy("custkey", "suppkey").agg(F.sum("qty").alias("qty"))
     return facts.top_members(totals, ["custkey"], "suppkey", "qty", 2)
@@ -440,7 +440,7 @@ def top_reps(star: SalesStar) -> DataFrame:
 def shared_groups(star: SalesStar) -> DataFrame:
     """HCPs with two reps; the group is numbered like the HCP."""
     return (
-        top_reps(star)
+        star["top_reps"]
         .filter("alignment_rank = 2")
         .select("custkey", F.col("custkey").alias("group_key"))
     )
@@ -448,10 +448,10 @@ def shared_groups(star: SalesStar) -> DataFrame:
 
 def bridge(star: SalesStar) -> DataFrame:
     """60 / 40 between the two top reps of a shared HCP."""
-    members = top_reps(star)
+    members = star["top_reps"]
     shared = members.join(shared_groups(star), "custkey", "left_semi")
-    hcp = hcp_versions(star).filter("is_current").select("custkey", "hcp_key")
-    rep = rep_versions(star).filter("is_current").select("suppkey", "rep_key")
+    hcp = star["hcp_versions"].filter("is_current").select("custkey", "hcp_key")
+    rep = star["rep_versions"].filter("is_current").select("suppkey", "rep_key")
     weight = F.when(F.col("alignment_rank") == 1, WEIGHTS[1]).otherwise(WEIGHTS[2])
     return (
         shared.join(hcp, "custkey")
@@ -470,7 +470,7 @@ def bridge(star: SalesStar) -> DataFrame:
     )
 
 
-def quota_base(star: SalesStar) -> DataFrame:
+def build_quota_base(star: SalesStar) -> DataFrame:
     """Rep, brand and quarter with quota, actual and prior-year units."""
     keys = ["suppkey", "brand"]
     quarter = cal.fiscal_quarter_start(F.col("day")).alias("fiscal_quarter_key")
@@ -492,7 +492,7 @@ def quota_base(star: SalesStar) -> DataFrame:
 
 def fct_quota_attainment(star: SalesStar) -> DataFrame:
     quarter = F.col("fiscal_quarter_key")
-    return stamp_rep(star, quota_base(star), "fiscal_quarter_key").select(
+    return stamp_rep(star, star["quota_base"], "fiscal_quarter_key").select(
         "fiscal_quarter_key",
         "prior_year_quarter_key",
         "rep_key",
@@ -531,7 +531,7 @@ def fct_prescription_territory_monthly(star: SalesStar) -> DataFrame:
     return facts.monthly_rollup(star["fct_prescription_weekly"])
 
 
-def rx_with_batches(star: SalesStar) -> DataFrame:
+def build_rx_with_batches(star: SalesStar) -> DataFrame:
     """The weekly fact as loaded: one week inflated, its correction filed a week later."""
     weekly = star["fct_prescription_weekly"]
     in_bad_week = F.col("week_end_date_key") == F.lit(BAD_WEEK)
@@ -571,7 +571,7 @@ def rx_with_batches(star: SalesStar) -> DataFrame:
 
 def dim_audit(star: SalesStar) -> DataFrame:
     """A batch per fiscal year of the weekly fact, plus the bad batch and its correction."""
-    counts = rx_with_batches(star).groupBy("audit_key").agg(
+    counts = star["rx_with_batches"].groupBy("audit_key").agg(
         F.count(F.lit(1)).alias("source_row_count")
     )
     key = F.col("audit_key")
@@ -621,5 +621,13 @@ BUILDERS = {
     "fct_hcp_coverage_target": fct_hcp_coverage_target,
     "fct_prescription_territory_monthly": fct_prescription_territory_monthly,
     "shared_rx": shared_rx,
-    "rx_with_batches": rx_with_batches,
+    "rx_with_batches": build_rx_with_batches,
+    # staging tables
+    "places": build_places,
+    "rep_versions": build_rep_versions,
+    "hcp_snapshots": build_hcp_snapshots,
+    "hcp_versions": build_hcp_versions,
+    "weekly_sums": build_weekly_sums,
+    "top_reps": build_top_reps,
+    "quota_base": build_quota_base,
 }
