@@ -13,21 +13,26 @@ Everything else goes through the operators below:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimstar.session import checkpointed
+from dimstar.session import settled
 
 # A key with more rows than this is spread over SALTS join tasks.
 HOT_ROWS = 1_000_000
 SALTS = 32
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality on all keys that also matches NULL with NULL."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys], F.lit(True))
+def as_one(keys: Sequence[str], *more: Column) -> Column:
+    """Keys as one struct: equal where all fields are equal, NULL fields included."""
+    return F.struct(*[F.col(k) for k in keys], *more)
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows: at most ``|rows| / hot_rows`` of them."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > hot_rows).select(*keys)
 
 
 def join_back(
@@ -42,41 +47,21 @@ def join_back(
     """Add the columns of ``stats`` (unique in ``keys``, row count in ``size``) to ``rows``.
 
     Rows of a hot key take one of ``salts`` values from a hash of ``spread``, and only the
-    stats of hot keys are repeated once per salt. At most ``|rows| / hot_rows`` keys can be
-    hot, so the list of them is small by construction and may be broadcast.
+    stats of hot keys are repeated once per salt. The list of hot keys is small by
+    construction and may be broadcast.
     """
-    hot = stats.filter(F.col(size) > hot_rows).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")
-    )
-    is_hot = reduce(
-        lambda a, b: a & b, [rows[k].eqNullSafe(hot[f"_hot_{k}"]) for k in keys], F.lit(True)
-    )
-    salted = (
-        rows.join(F.broadcast(hot), is_hot, "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_hot"), F.pmod(F.xxhash64(*[rows[c] for c in spread]), F.lit(salts)))
-            .otherwise(F.lit(0))
-            .cast("int"),
-        )
-        .select(*[rows[c] for c in rows.columns], "_salt")
-    )
-    repeated = stats.withColumn(
-        "_salt_of",
-        F.explode(
-            F.when(F.col(size) > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
+    hot = hot_keys(rows, keys, hot_rows).select(as_one(keys).alias("_key"), F.lit(True).alias("_hot"))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0))
+    salted = rows.withColumn("_key", as_one(keys)).join(F.broadcast(hot), "_key", "left")
+    salted = salted.withColumn("_salt", salt.cast("int")).drop("_hot")
+    repeat = F.when(F.col(size) > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1)))
     added = [c for c in stats.columns if c not in keys]
-    repeated = repeated.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys], *added, F.col("_salt_of")
-    )
-    on = (F.col("_salt") == F.col("_salt_of")) & reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], F.lit(True)
+    repeated = stats.select(
+        *added,
+        as_one(keys).alias("_key"),
+        F.explode(F.coalesce(repeat, F.array(F.lit(0)))).alias("_salt"),
     )
-    return salted.join(repeated, on, "inner").select(*rows.columns, *added)
+    return salted.join(repeated, ["_key", "_salt"]).select(*rows.columns, *added)
 
 
 def attach_group_stats(
@@ -91,7 +76,7 @@ def attach_group_stats(
 
     The rows are read more than once, so they are settled first.
     """
-    rows = checkpointed(rows)
+    rows = settled(rows)
     stats = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(size), *[agg.alias(name) for name, agg in aggs.items()]
     )
@@ -106,6 +91,7 @@ def running(
     position: str | None = None,
     sums: Mapping[str, Column] | None = None,
     group_rows: str | None = None,
+    group_sums: Mapping[str, str] | None = None,
     ranges: int | None = None,
 ) -> DataFrame:
     """Position and running sums inside ordered groups of any size.
@@ -113,51 +99,46 @@ def running(
     ``order`` must be unique inside a group. Rows are ranged by (group, order) over
     ``ranges`` tasks, so a large group covers several of them and none holds it whole.
     A group has at most ``ranges`` summary rows, which bounds the window over them.
-    The ranged rows are checkpointed: rows and summary then agree on the ranges, also
-    after a lost executor.
+    The ranged rows are written once: rows and summary then agree on the ranges, also
+    after a lost executor. ``group_sums`` names the whole group's total of a sum.
     """
     sums = dict(sums or {})
-    spark = rows.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    carried = rows
-    for i, value in enumerate(sums.values()):
-        carried = carried.withColumn(f"_sum{i}", value)
-    ranged = checkpointed(
-        carried.repartitionByRange(ranges, *[F.col(g) for g in group], *order).withColumn(
-            "_run", F.spark_partition_id()
-        )
+    ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = {name: f"_sum{i}" for i, name in enumerate(sums)}
+    ranged = settled(
+        rows.withColumns({part[name]: value for name, value in sums.items()})
+        .repartitionByRange(ranges, *[F.col(g) for g in group], *order)
+        .withColumn("_run", F.spark_partition_id())
     )
-    values = [f"_sum{i}" for i in range(len(sums))]
     summary = ranged.groupBy(*group, "_run").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_t{v}") for v in values]
+        F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_in{v}") for v in part.values()]
     )
     whole = Window.partitionBy(*group)
     before = whole.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    run = as_one(group, F.col("_run"))
     summary = summary.select(
-        *[F.col(g).alias(f"_g_{g}") for g in group],
-        F.col("_run").alias("_g_run"),
+        run.alias("_at_run"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
         F.sum("_n").over(whole).alias("_n_group"),
-        *[F.sum(f"_t{v}").over(before).alias(f"_before{v}") for v in values],
+        *[F.sum(f"_in{v}").over(before).alias(f"_before{v}") for v in part.values()],
+        *[F.sum(f"_in{v}").over(whole).alias(f"_group{v}") for v in part.values()],
     )
-    on = (F.col("_run") == F.col("_g_run")) & reduce(
-        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group], F.lit(True)
-    )
-    inside = Window.partitionBy(*group, "_run").orderBy(*order)
+    inside = Window.partitionBy("_at_run").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_pos", F.row_number().over(inside))
-    for v in values:
-        local = local.withColumn(f"_local{v}", F.sum(v).over(upto))
+    local = ranged.withColumn("_at_run", run).select(
+        "*",
+        F.row_number().over(inside).alias("_pos"),
+        *[F.sum(v).over(upto).alias(f"_upto{v}") for v in part.values()],
+    )
     added = []
     if position:
         added.append((F.col("_n_before") + F.col("_pos")).alias(position))
     if group_rows:
         added.append(F.col("_n_group").alias(group_rows))
-    for name, v in zip(sums, values):
-        # NULL only while no non-NULL value has been seen, as for a plain running sum.
-        added.append(
-            F.when(F.col(f"_local{v}").isNull(), F.col(f"_before{v}"))
-            .otherwise(F.col(f"_local{v}") + F.coalesce(F.col(f"_before{v}"), F.lit(0)))
-            .alias(name)
-        )
-    return local.join(summary, on, "inner").select(*rows.columns, *added)
+    for name, v in part.items():
+        # NULL only while no value has been seen, as for a plain running sum.
+        earlier, here = F.col(f"_before{v}"), F.col(f"_upto{v}")
+        added.append(F.coalesce(earlier + here, here, earlier).alias(name))
+    for name, of in (group_sums or {}).items():
+        added.append(F.col(f"_group{part[of]}").alias(name))
+    return local.join(summary, "_at_run").select(*rows.columns, *added)

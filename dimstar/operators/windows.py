@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from dimstar.functions.labels import asc
 from dimstar.functions.numeric import percent, ratio
 from dimstar.operators.skew import attach_group_stats, join_back, running
-from dimstar.session import checkpointed
+from dimstar.session import settled
 
 # --- groups bounded by the grain ---------------------------------------------------
 
@@ -100,7 +100,7 @@ def ranked_by_value(
     group, the sum of its values and how many are known. ``spread`` names columns that
     tell apart the rows that share a value.
     """
-    rows = checkpointed(rows)
+    rows = settled(rows)
     counts = rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_ties"))
     ties = F.col("_ties")
     placed = running(
@@ -114,19 +114,9 @@ def ranked_by_value(
             "_known": F.when(F.col(value).isNotNull(), ties).otherwise(0),
         },
         group_rows="_values",
+        group_sums={"_group_rows": "_upto", "_group_sum": "_total", "_group_known": "_known"},
         **kw,
     )
-    # The last value of a group carries the totals of the group.
-    totals = placed.filter(F.col("_at") == F.col("_values")).select(
-        *[F.col(g).alias(f"_t_{g}") for g in group],
-        F.col("_upto").alias("_group_rows"),
-        F.col("_total").alias("_group_sum"),
-        F.col("_known").alias("_group_known"),
-    )
-    same_group = F.lit(True)
-    for g in group:
-        same_group = same_group & F.col(g).eqNullSafe(F.col(f"_t_{g}"))
-    placed = placed.join(totals, same_group, "inner")
     below = F.col("_upto") - ties
     in_percent = F.coalesce(percent(below, F.col("_group_rows") - 1, digits), F.lit(Decimal("0.0")))
     found = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections import ChainMap
 
 from dimstar.plans import reports as r
 from dimstar.registry.base import Query, rounded, rounded_units
@@ -204,7 +205,9 @@ QUERIES = [
         "rep_name:s hcp_name:s brand_name:s credit_split_weight:d total_attributed_rx:d "
         "total_attributed_units:d total_unweighted_rx:i total_unweighted_units:i "
         "rx_overcount_without_bridge:d units_overcount_without_bridge:d",
-        lambda s: r.co_promotion_credit({**s, "fct_prescription_weekly": s["shared_rx"]}),
+        lambda s: r.co_promotion_credit(
+            ChainMap({"fct_prescription_weekly": s["shared_rx"]}, s)
+        ),
         f"""
   WITH credit AS (
     SELECT r.rep_name, h.full_name AS hcp_name, p.brand_name, b.weight_milli,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,11 +40,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back from there.
+def settled(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back from there.
 
     Used where two branches must see the very same partitioning even if executors
-    are lost in between, or where several read what is costly to compute.
+    are lost in between, or where several read what is costly to compute. A written
+    table is columnar, so each branch reads only its columns, and Spark knows its size.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/settled/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
