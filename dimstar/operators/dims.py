@@ -141,16 +141,13 @@ def shrink_dim(dim: DataFrame, cols: Sequence[str]) -> DataFrame:
 def junk_dim_from_domains(
     spark: SparkSession, domains: Mapping[str, Sequence[str]], key: str = "junk_key"
 ) -> DataFrame:
-    """Every combination of small flag domains. The lists are code, so the product is small."""
+    """Every combination of flag values: each domain is unfolded in turn, without a join."""
     out = spark.range(1).select(F.lit(0).cast("bigint").alias("_code"))
     for name, values in domains.items():
-        flags = spark.range(1).select(
-            F.posexplode(F.array(*[F.lit(v) for v in values])).alias("_at", name)
-        )
-        out = out.crossJoin(F.broadcast(flags)).select(
-            (F.col("_code") * len(values) + F.col("_at")).alias("_code"),
-            *[c for c in out.columns if c != "_code"],
-            name,
+        unfolded = F.posexplode(F.array(*[F.lit(v) for v in values])).alias("_at", name)
+        kept = [c for c in out.columns if c != "_code"]
+        out = out.select("*", unfolded).select(
+            (F.col("_code") * len(values) + F.col("_at")).alias("_code"), *kept, name
         )
     return out.select((F.col("_code") + 1).alias(key), *domains)
 

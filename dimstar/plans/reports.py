@@ -143,10 +143,11 @@ def rolling_trend(
     hcps = hcps.select("hcp_key", F.col("full_name").alias("hcp_name"), "segment", "decile_rank")
     group, order, value = ["hcp_key", "product_key"], ["week_end_date_key"], "total_rx_count"
     # The windows run on keys and counts only; names are joined to their result.
-    trend = (
-        rx.join(hcps.select("hcp_key"), "hcp_key", "left_semi")
-        .withColumn("rolling_avg", windows.rolling_mean(group, order, value, rows, 1))
-        .withColumn("prior_week_rx", windows.prior(group, order, value))
+    trend = rx.join(hcps.select("hcp_key"), "hcp_key", "left_semi").withColumns(
+        {
+            "rolling_avg": windows.rolling_mean(group, order, value, rows, 1),
+            "prior_week_rx": windows.prior(group, order, value),
+        }
     )
     if display is not None:
         trend = trend.filter(
@@ -551,12 +552,15 @@ def market_share_trend(tables: Tables, fiscal_year: int | None = 2024) -> DataFr
     district = Window.partitionBy("district", "brand_name", "month_key")
     moved = F.col("mom_share_change")
     return (
-        rows.withColumn("prior_month_share", windows.prior(group, order, "market_share_pct"))
-        .withColumn("mom_share_change", windows.change("market_share_pct", "prior_month_share"))
-        .withColumn(
-            "rolling_3mo_avg_share",
-            windows.rolling_mean_decimal(group, order, "market_share_pct", 3, 2),
+        rows.withColumns(
+            {
+                "prior_month_share": windows.prior(group, order, "market_share_pct"),
+                "rolling_3mo_avg_share": windows.rolling_mean_decimal(
+                    group, order, "market_share_pct", 3, 2
+                ),
+            }
         )
+        .withColumn("mom_share_change", windows.change("market_share_pct", "prior_month_share"))
         .withColumn(
             "share_trend",
             label_ladder([(moved > 1, "Gaining share"), (moved < -1, "Losing share")], "Holding share"),

@@ -19,7 +19,8 @@ def table_path(root: str, name: str) -> str:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the star schema with its stated types; nothing is inferred."""
-    return spark.read.schema(schema_of(name)).parquet(table_path(root, name))
+    schema = schema_of(name)
+    return spark.read.schema(schema).parquet(table_path(root, name)).select(*schema.names)
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
