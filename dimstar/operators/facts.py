@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from dimstar.functions import calendar as cal
 from dimstar.functions.labels import asc
-from dimstar.functions.numeric import percent
+from dimstar.functions.numeric import percent, ratio
 from dimstar.operators.scd import scd2
-from dimstar.operators.skew import attach_group_stats
+from dimstar.operators.skew import attach_group_stats, running
 
 SHARE = "decimal(9,2)"
 
@@ -134,29 +134,23 @@ def co_promo_group(fact: DataFrame, bridge: DataFrame, on: Sequence[str]) -> Dat
 def bridge_weights(
     alignments: DataFrame, group: Sequence[str], member: str, measure: str, digits: int = 3
 ) -> DataFrame:
-    """Weights > 0 that sum to exactly 1 per group; what rounding leaves goes to rank 1.
-
-    A weight has three decimals and is above 0, so a valid group has at most 1,000 members.
-    """
-    kind = f"decimal({digits + 1},{digits})"
-    members = Window.partitionBy(*group)
-    ranked = members.orderBy(F.col(measure).desc_nulls_last(), asc(member))
-    total = F.sum(measure).over(members)
-    rounded = F.round(
-        F.col(measure).cast("decimal(20,0)") / F.nullif(total.cast("decimal(20,0)"), F.lit(0)),
-        digits,
+    """Weights > 0 that sum to exactly 1 per group; what rounding leaves goes to rank 1."""
+    placed = running(
+        alignments,
+        group,
+        [F.col(measure).desc_nulls_last(), asc(member)],
+        position="alignment_rank",
+        sums={"_upto": F.col(measure)},
+        group_sums={"_total": "_upto"},
     )
-    rest = 1 - F.sum("_w").over(members)
-    return (
-        alignments.withColumn("_w", rounded)
-        .withColumn("alignment_rank", F.row_number().over(ranked))
-        .withColumn(
-            "credit_split_weight",
-            (F.col("_w") + F.when(F.col("alignment_rank") == 1, rest).otherwise(F.lit(0))).cast(
-                kind
-            ),
-        )
-        .drop("_w")
+    weighted = placed.drop("_upto").withColumn(
+        "_w", ratio(F.col(measure), F.col("_total"), digits)
+    )
+    summed = attach_group_stats(weighted, group, {"_sum": F.sum("_w")}, spread=[member])
+    rest = F.when(F.col("alignment_rank") == 1, 1 - F.col("_sum")).otherwise(F.lit(0))
+    kind = f"decimal({digits + 1},{digits})"
+    return summed.withColumn("credit_split_weight", (F.col("_w") + rest).cast(kind)).drop(
+        "_w", "_sum", "_total"
     )
 
 

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from dimstar.session import settled
 
-# A key with more rows than this is spread over SALTS join tasks.
+# A key is hot with more rows than this, and with more than 1 / MAX_HOT_KEYS of all rows:
+# whatever the size of the data, no more keys than that can be hot.
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 SALTS = 32
 
 
@@ -29,8 +31,7 @@ def as_one(keys: Sequence[str], *more: Column) -> Column:
     return F.struct(*[F.col(k) for k in keys], *more)
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most ``|rows| / hot_rows`` of them."""
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return counts.filter(F.col("_n") > hot_rows).select(*keys)
 
@@ -47,9 +48,10 @@ def join_back(
     """Add the columns of ``stats`` (unique in ``keys``, row count in ``size``) to ``rows``.
 
     Rows of a hot key take one of ``salts`` values from a hash of ``spread``, and only the
-    stats of hot keys are repeated once per salt. The list of hot keys is small by
-    construction and may be broadcast.
+    stats of hot keys are repeated once per salt. The list of hot keys has a fixed bound
+    and may be broadcast. ``rows`` is a written table, so that counting it costs little.
     """
+    hot_rows = max(hot_rows, rows.count() // MAX_HOT_KEYS)
     hot = hot_keys(rows, keys, hot_rows).select(as_one(keys).alias("_key"), F.lit(True).alias("_hot"))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0))
     salted = rows.withColumn("_key", as_one(keys)).join(F.broadcast(hot), "_key", "left")

@@ -24,6 +24,20 @@ from dimstar.operators.skew import attach_group_stats, running
 Tables = Mapping[str, DataFrame]
 Day = datetime.date
 
+# fixed values: label texts, most specific first, with the thresholds they stand for
+NO_VISITS, UNDERCOVERED, COVERED = "No visits", "Undercovered", "Adequately covered"
+BIG_DROP, DROP, BIG_RISE, STABLE = (
+    "Significant drop", "Moderate drop", "Significant increase", "Stable"
+)
+DROP_BELOW = {BIG_DROP: -30, DROP: -10}
+RISE_ABOVE = {BIG_RISE: 30}
+ATTAINMENT_FROM = {"At or above quota": 100, "Near quota": 80, "Below quota": 60}
+ATTAINMENT_ELSE = "Significantly below quota"
+PRE_TRANSFER, POST_TRANSFER = "Pre-transfer", "Post-transfer"
+GAINING, LOSING, HOLDING = "Gaining share", "Losing share", "Holding share"
+ACCURATE, MINOR_DRIFT, NEEDS_REFRESH = "Accurate", "Minor drift", "Needs refresh"
+PRE_EXPANSION, POST_EXPANSION = "Pre-expansion", "Post-expansion"
+
 
 def _only(df: DataFrame, col: str, value) -> DataFrame:
     return df if value is None else df.filter(F.col(col) == F.lit(value))
@@ -99,8 +113,8 @@ def below_quota_coverage(
     rows = rows.withColumn(
         "coverage_status",
         label_ladder(
-            [(visited == 0, "No visits"), (visited < min_visits, "Undercovered")],
-            "Adequately covered",
+            [(visited == 0, NO_VISITS), (visited < min_visits, UNDERCOVERED)],
+            COVERED,
         ),
     )
     rows = windows.share_of_group(
@@ -163,12 +177,9 @@ def rolling_trend(
         .withColumn(
             "trend_flag",
             label_ladder(
-                [
-                    (pct < -30, "Significant drop"),
-                    (pct < -10, "Moderate drop"),
-                    (pct > 30, "Significant increase"),
-                ],
-                "Stable",
+                [(pct < limit, name) for name, limit in DROP_BELOW.items()]
+                + [(pct > limit, name) for name, limit in RISE_ABOVE.items()],
+                STABLE,
             ),
         )
         .select(
@@ -190,12 +201,7 @@ def rolling_trend(
 
 def attainment_status(attainment: Column) -> Column:
     return label_ladder(
-        [
-            (attainment >= 100, "At or above quota"),
-            (attainment >= 80, "Near quota"),
-            (attainment >= 60, "Below quota"),
-        ],
-        "Significantly below quota",
+        [(attainment >= floor, name) for name, floor in ATTAINMENT_FROM.items()], ATTAINMENT_ELSE
     )
 
 
@@ -274,7 +280,7 @@ def transfer_attribution(
     moved_on = F.lit(transfer_date) if transfer_date else F.col("_moved_on")
     visits = visits.withColumn(
         "transfer_period",
-        F.when(F.col("date_key") < moved_on, "Pre-transfer").otherwise("Post-transfer"),
+        F.when(F.col("date_key") < moved_on, PRE_TRANSFER).otherwise(POST_TRANSFER),
     )
     # One rep may have made a large share of all visits.
     numbered = running(
@@ -524,7 +530,9 @@ def superseded_batch_audit(
     )
 
 
-def market_share_trend(tables: Tables, fiscal_year: int | None = 2024) -> DataFrame:
+def market_share_trend(
+    tables: Tables, fiscal_year: int | None = 2024, band: int = 1
+) -> DataFrame:
     """Monthly share per territory and brand, its change, short mean and rank in the district.
 
     Reads the monthly rollup. The trend windows hold the months of one territory and
@@ -563,7 +571,7 @@ def market_share_trend(tables: Tables, fiscal_year: int | None = 2024) -> DataFr
         .withColumn("mom_share_change", windows.change("market_share_pct", "prior_month_share"))
         .withColumn(
             "share_trend",
-            label_ladder([(moved > 1, "Gaining share"), (moved < -1, "Losing share")], "Holding share"),
+            label_ladder([(moved > band, GAINING), (moved < -band, LOSING)], HOLDING),
         )
         .withColumn(
             "territory_rank_in_district",
@@ -623,7 +631,7 @@ def decile_validation(
         .withColumn(
             "decile_status",
             label_ladder(
-                [(drift == 0, "Accurate"), (F.abs(drift) == 1, "Minor drift")], "Needs refresh"
+                [(drift == 0, ACCURATE), (F.abs(drift) == 1, MINOR_DRIFT)], NEEDS_REFRESH
             ),
         )
         .select(
@@ -656,8 +664,8 @@ def indication_impact(
         "brand_name",
         "indication",
         F.col("effective_date").alias("indication_effective_date"),
-        F.when(F.col("is_current"), "Post-expansion")
-        .otherwise("Pre-expansion")
+        F.when(F.col("is_current"), POST_EXPANSION)
+        .otherwise(PRE_EXPANSION)
         .alias("indication_period"),
     )
     rx = joins.only_in(
