@@ -42,7 +42,7 @@ def join_back(
     keys: Sequence[str],
     size: str,
     spread: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Add the columns of ``stats`` (unique in ``keys``, row count in ``size``) to ``rows``.
@@ -51,7 +51,7 @@ def join_back(
     stats of hot keys are repeated once per salt. The list of hot keys has a fixed bound
     and may be broadcast. ``rows`` is a written table, so that counting it costs little.
     """
-    hot_rows = max(hot_rows, rows.count() // MAX_HOT_KEYS)
+    hot_rows = max(hot_rows or HOT_ROWS, rows.count() // MAX_HOT_KEYS)
     hot = hot_keys(rows, keys, hot_rows).select(as_one(keys).alias("_key"), F.lit(True).alias("_hot"))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0))
     salted = rows.withColumn("_key", as_one(keys)).join(F.broadcast(hot), "_key", "left")
