@@ -100,16 +100,18 @@ def running(
 
     ``order`` must be unique inside a group. Rows are ranged by (group, order) over
     ``ranges`` tasks, so a large group covers several of them and none holds it whole.
-    A group has at most ``ranges`` summary rows, which bounds the window over them.
+    A group has at most one summary row per range, which bounds the window over them.
+    Without a number there are up to ``spark.sql.shuffle.partitions`` ranges; adaptive
+    execution merges neighbours that are small, which keeps their order.
     The ranged rows are written once: rows and summary then agree on the ranges, also
     after a lost executor. ``group_sums`` names the whole group's total of a sum.
     """
     sums = dict(sums or {})
-    ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = {name: f"_sum{i}" for i, name in enumerate(sums)}
+    by = [*[F.col(g) for g in group], *order]
     ranged = settled(
         rows.withColumns({part[name]: value for name, value in sums.items()})
-        .repartitionByRange(ranges, *[F.col(g) for g in group], *order)
+        .repartitionByRange(*([ranges] if ranges else []), *by)
         .withColumn("_run", F.spark_partition_id())
     )
     summary = ranged.groupBy(*group, "_run").agg(

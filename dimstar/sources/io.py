@@ -117,10 +117,10 @@ def write_fact(
     """Clusters the files so that a filter on the leading columns skips row groups.
 
     The equality column of the usual filter comes first, the range column after it.
+    Without a number of files, adaptive execution merges small neighbouring ranges.
     """
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.repartitionByRange(n, *cluster)
+        df.repartitionByRange(*([files] if files else []), *cluster)
         .sortWithinPartitions(*cluster)
         .write.mode("overwrite")
         .parquet(path)
