@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimstar.llm import exact_dedup, line_dedup, mixing, url_filter
+from dimstar.llm import byte_bpe, exact_dedup, line_dedup, mixing, url_filter
 from dimstar.llm.url_filter import Rule
 from dimstar.session import configure
 
@@ -44,8 +44,19 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, folder, "documents"))
 
 
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.round_trips(
+        _table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_source_mix, op6_line_dedup, op7_exact_dedup)
+    f.__name__: f
+    for f in (op1_url_filter, op2_source_mix, op6_line_dedup, op7_exact_dedup, op8_byte_bpe)
 }
 
 _BARE = r"trim(x, E' \t\r')"
