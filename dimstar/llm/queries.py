@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimstar.llm import byte_bpe, exact_dedup, line_dedup, mixing, url_filter
+from dimstar.llm import byte_bpe, exact_dedup, language_crf, line_dedup, mixing, url_filter
 from dimstar.llm.url_filter import Rule
 from dimstar.session import configure
 
@@ -33,6 +33,10 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return parts.select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_crf.identified(_table(spark, folder, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = line_dedup.drop_boilerplate(_table(spark, folder, "documents"), "source")
     return cleaned.select(
@@ -56,7 +60,14 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filter, op2_source_mix, op6_line_dedup, op7_exact_dedup, op8_byte_bpe)
+    for f in (
+        op1_url_filter,
+        op2_source_mix,
+        op5_language_id,
+        op6_line_dedup,
+        op7_exact_dedup,
+        op8_byte_bpe,
+    )
 }
 
 _BARE = r"trim(x, E' \t\r')"
