@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimstar.session import settled
+
 PREFIX_CHARS = 64
 _STEP = 1 << 16
 
@@ -71,7 +73,8 @@ def exact_dedup(
     prefix_chars: int = PREFIX_CHARS,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    groups = duplicate_groups(docs, id_column, text_column, prefix_chars)
+    # Written, so that the join below has plain exchanges, whose hot partitions Spark can split.
+    groups = settled(duplicate_groups(docs, id_column, text_column, prefix_chars))
     rows = _hashed(docs, id_column, text_column, prefix_chars).select("doc_id", "text_sha256")
     judged = rows.join(groups, "text_sha256", "left").select(
         "doc_id",
@@ -120,7 +123,7 @@ def deduplicated(
         F.col(id_column).alias("own_id"),
         F.sha2(text, 256).alias("text_sha256"),
     )
-    groups = duplicate_groups(docs, id_column, text_column, prefix_chars)
+    groups = settled(duplicate_groups(docs, id_column, text_column, prefix_chars))
     left = rows.join(groups, "text_sha256", "left").where(
         F.col("group_size").isNull() | F.col("own_id").eqNullSafe(F.col("keep_id"))
     )
