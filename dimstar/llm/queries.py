@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimstar.llm import byte_bpe, exact_dedup, language_crf, line_dedup, mixing, url_filter
+from dimstar.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_crf,
+    line_dedup,
+    masked_lm,
+    mixing,
+    url_filter,
+)
 from dimstar.llm.url_filter import Rule
 from dimstar.session import configure
 
@@ -58,6 +66,10 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return masked_lm.score_documents(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -67,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_line_dedup,
         op7_exact_dedup,
         op8_byte_bpe,
+        op10_lm_score,
     )
 }
 
