@@ -14,6 +14,7 @@ from dimstar.llm import (
     line_dedup,
     masked_lm,
     mixing,
+    ngram_join,
     url_filter,
 )
 from dimstar.llm.url_filter import Rule
@@ -66,6 +67,12 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    like = ngram_join.Similarity(width=4, percent=85)
+    groups = ngram_join.similar_groups(_table(spark, folder, "documents"), like)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return masked_lm.score_documents(_table(spark, folder, "documents"))
 
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_line_dedup,
         op7_exact_dedup,
         op8_byte_bpe,
+        op9_ngram_join,
         op10_lm_score,
     )
 }
