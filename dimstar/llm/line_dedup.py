@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimstar.session import settled
+
 RATIO = 0.1
 MIN_PAGES = 4
 _ENDS = " \t\r"
@@ -70,7 +72,8 @@ def drop_boilerplate(
     min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """One row per page: row (its columns as they were), text (what is left), n_lines, n_dropped."""
-    bad = boilerplate(pages, site_column, text_column, ratio, min_pages)
+    # Written, so that its size is known before the pages would be shuffled for the join.
+    bad = settled(boilerplate(pages, site_column, text_column, ratio, min_pages))
     bad = bad.select(F.col("site").alias("of_site"), "keys")
     rows = pages.select(
         F.struct("*").alias("row"),
