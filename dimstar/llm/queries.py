@@ -16,6 +16,7 @@ from dimstar.llm import (
     mixing,
     ngram_join,
     url_filter,
+    vector_graph,
 )
 from dimstar.llm.url_filter import Rule
 from dimstar.session import configure
@@ -42,6 +43,10 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return parts.select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_graph.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_crf.identified(_table(spark, folder, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_url_filter,
         op2_source_mix,
+        op4_embedding_near_dedup,
         op5_language_id,
         op6_line_dedup,
         op7_exact_dedup,
