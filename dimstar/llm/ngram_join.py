@@ -36,13 +36,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimstar.llm.components import components
+from dimstar.llm.filters import filter_of, hit
 from dimstar.session import settled
 
 SKETCH = 1 << 16
 BITS = 1024
 ROUNDS = 2
 BLOCK = 256
-_FILTER = 1 << 23
 _STORE = 400_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -188,27 +188,15 @@ def signatures(texts: DataFrame, like: Similarity) -> DataFrame:
     )
 
 
-def _filter_of(hashes: DataFrame) -> np.ndarray:
-    """A bit for each hash modulo the filter's size: of fixed size, for any number of hashes."""
-    cell = F.pmod("h", F.lit(_FILTER))
-    words = hashes.select(F.shiftright(cell, 6).alias("at"), F.pmod(cell, F.lit(64)).cast("int").alias("bit"))
-    rows = words.groupBy("at").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toPandas()
-    out = np.zeros(_FILTER // 64, np.int64)
-    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return out
-
-
 def _sets(texts: DataFrame, wanted: DataFrame, like: Similarity) -> DataFrame:
     """cid, shingles (sorted) of the classes whose text hashes are in ``wanted`` (h)."""
-    shared = texts.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+    shared = texts.sparkSession.sparkContext.broadcast(filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bits, met = Shingler(like.width), shared.value, set()
         for batch in batches:
-            cell = np.mod(batch.column("text_hash").to_numpy(), _FILTER)
-            hit = np.flatnonzero((bits[cell >> 6] >> (cell & 63)) & 1)
             column, cids, sets = batch.column("text"), [], []
-            for i in hit:
+            for i in np.flatnonzero(hit(bits, batch.column("text_hash").to_numpy())):
                 found = np.unique(shingler.shingles(shingler.words(column[int(i)].as_py())))
                 cid = _class_id(found)
                 if len(found) and cid not in met:

@@ -15,6 +15,7 @@ from dimstar.llm import (
     masked_lm,
     mixing,
     ngram_join,
+    suffix_dedup,
     url_filter,
     vector_graph,
 )
@@ -43,6 +44,18 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return parts.select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.deduplicated(_table(spark, folder, "documents"))
+    sizes = F.transform("removed", lambda s: s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(sizes, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vector_graph.near_duplicates(_table(spark, folder, "embeddings"))
 
@@ -87,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_url_filter,
         op2_source_mix,
+        op3_suffix_dedup,
         op4_embedding_near_dedup,
         op5_language_id,
         op6_line_dedup,
