@@ -1 +1,10 @@
-"""Operators of a training-data pipeline; nothing else in the library imports them."""
+"""Operators of a training-data pipeline; nothing else in the library imports them.
+
+Functions that run on executors are sent by value, so the package need not be installed there.
+"""
+
+import sys
+
+from pyspark.cloudpickle import register_pickle_by_value
+
+register_pickle_by_value(sys.modules[__name__])

@@ -208,10 +208,10 @@ def _inputs(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).alias("doc_id"), text.alias("text"))
 
 
-def _encoders(docs: DataFrame, ranks_path: str, pattern: str):
+def _encoders(ranks_path: str, pattern: str):
     """A function that gives a worker its encoder; the vocabulary is read on the driver."""
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(ranks_path)))
-    return lambda: Encoder(shared.value, pattern)
+    vocabulary = Vocabulary(read_ranks(ranks_path))
+    return lambda: Encoder(vocabulary, pattern)
 
 
 def _id_field(docs: DataFrame, id_column: str) -> str:
@@ -222,7 +222,7 @@ def encoded(
     docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, ids."""
-    encoder_of = _encoders(docs, ranks_path, pattern)
+    encoder_of = _encoders(ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of()
@@ -258,7 +258,7 @@ def round_trips(
     docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """Encodes and decodes in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    encoder_of = _encoders(docs, ranks_path, pattern)
+    encoder_of = _encoders(ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of()

@@ -332,7 +332,6 @@ def identify(
 ) -> DataFrame:
     """One row per document: row (its columns, or those in ``keep``), lang_pred, score, n_words,
     n_switches."""
-    shared = docs.sparkSession.sparkContext.broadcast(field)
     keep = docs.columns if keep is None else keep
     text_at = docs.columns.index(text_column)
     kept_at = [docs.columns.index(c) for c in keep]
@@ -349,7 +348,7 @@ def identify(
         out[3] += switches.tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(shared.value) if shared.value is not None else None
+        labeller = Labeller(field) if field is not None else None
         for batch in batches:
             worded, judged, held, texts = [], [[], [], [], []], 0, []
             parts = batch.column("row").flatten()

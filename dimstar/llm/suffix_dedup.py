@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimstar.llm.filters import filter_of, hits
+from dimstar.llm.hashing import RollingHash
 from dimstar.session import settled
 
 LENGTH, GRAM = 200, 64
@@ -48,33 +49,6 @@ _STORE = 400_000
 _U = np.uint64
 
 
-class RollingHash:
-    """Hashes of all strings of bytes in an array, by prefix sums modulo 2**64."""
-
-    def __init__(self, seed: int):
-        rng = np.random.default_rng(seed)
-        self.table = rng.integers(0, 1 << 64, 256, dtype=_U)
-        self.base = int(rng.integers(0, 1 << 62)) * 4 + 3
-        self._grow(1 << 12)
-
-    def _grow(self, n: int) -> None:
-        back = pow(self.base, -1, 1 << 64)
-        self.powers = np.cumprod(np.r_[_U(1), np.full(n, self.base, _U)])
-        self.inverse = np.cumprod(np.r_[_U(1), np.full(n, back, _U)])
-
-    def sums(self, data: np.ndarray) -> np.ndarray:
-        if len(data) >= len(self.powers):
-            self._grow(2 * len(data))
-        out = np.zeros(len(data) + 1, _U)
-        np.cumsum(self.table[data] * self.powers[: len(data)], out=out[1:])
-        return out
-
-    def of(self, sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        x = (sums[stop] - sums[start]) * self.inverse[start]
-        x = (x ^ (x >> _U(31))) * _U(0xBF58476D1CE4E5B9)
-        return x ^ (x >> _U(29))
-
-
 class Anchors:
     """Spans of a text: gram and span hashes, and the first and last string of each span."""
 
