@@ -22,7 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections import ChainMap
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import pyarrow as pa
@@ -31,8 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _NEVER = -1  # when single bytes came to be: before all merges
-_STORE = 200_000
-_STORED_CHARS = 48
+_STORE, _STORED_CHARS = 400_000, 48
+_PAIRS = 1_000_000
+_BLOCK_CHARS = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -83,7 +85,9 @@ class Vocabulary:
                 self.parts[rank] = pair
                 self.merged[pair] = rank
             self.ids[token] = rank
-        self.suffixes = {t[k:] for t in self.ids for k in range(len(t))}
+        # What tokens end with: the token that it is itself, or -1.
+        self.endings = {t[k:]: -1 for t in self.ids for k in range(1, len(t))} | self.ids
+        self.follows: dict[int, bool] = {}
 
     @staticmethod
     def _last_two(token: bytes, ranks: dict[bytes, int], below: int) -> tuple[int, int] | None:
@@ -99,6 +103,16 @@ class Vocabulary:
         return ranks[pieces[0]], ranks[pieces[1]]
 
     def may_follow(self, left: int, right: int) -> bool:
+        """The same as ``_may_follow``; answers are kept, as many as fit."""
+        code = left << 32 | right
+        known = self.follows.get(code)
+        if known is None:
+            if len(self.follows) > _PAIRS:
+                self.follows.clear()
+            known = self.follows[code] = self._may_follow(left, right)
+        return known
+
+    def _may_follow(self, left: int, right: int) -> bool:
         """Whether the two tokens side by side are what their bytes encode to."""
         parts, merged = self.parts, self.merged
         before: float = float("inf")  # a merge across the border would have had to rank below
@@ -125,20 +139,28 @@ class PrefixEncoding:
         self.append(data)
 
     def _last_token(self, end: int) -> int:
-        v, data = self.vocabulary, self.data
-        ending = []
-        for start in range(end - 1, max(-1, end - 1 - v.longest), -1):
-            piece = data[start:end]
-            if piece not in v.suffixes:
+        v, data, last = self.vocabulary, self.data, self.last
+        known, ending = v.endings.get, []
+        for start in range(end - 1, -1, -1):
+            token = known(data[start:end])
+            if token is None:
                 break
-            token = v.ids.get(piece)
-            if token is not None:
+            if token >= 0:
                 ending.append((start, token))
         for start, token in reversed(ending):
-            if start == 0 or v.may_follow(self.last[start - 1], token):
+            if start == 0 or v.may_follow(last[start - 1], token):
                 return token
         raise ValueError(f"the vocabulary lacks byte {data[end - 1]}")
 
+    def restart(self, data: bytes) -> None:
+        """Goes on to other bytes; prefixes that both have in common are kept."""
+        same, most = 0, min(len(data), len(self.data))
+        while same < most and data[same] == self.data[same]:
+            same += 1
+        self.data = data[:same]
+        del self.last[same:]
+        self.append(data[same:])
+
     def append(self, more: bytes) -> None:
         """Adds bytes at the end; what is stored stays as it is."""
         self.data += more
@@ -177,27 +199,37 @@ class Encoder:
         self.find = regex.compile(spaces_as_unicode(pattern)).findall
         self.stored: dict[str, list[int]] = {}
 
-    def _encode_match(self, match: str) -> list[int]:
-        data = match.encode("utf-8")
-        whole = self.vocabulary.ids.get(data)
-        if whole is not None:
-            return [whole]
-        return PrefixEncoding(self.vocabulary, data).tokens()
-
     def encode(self, text: str) -> list[int]:
-        matches = self.find(text)
-        stored = self.stored
-        new = set(matches).difference(stored)
-        if new:
-            if len(stored) > _STORE:
-                stored.clear()
-                new = set(matches)
-            once = {}
-            for match in new:
-                (stored if len(match) <= _STORED_CHARS else once)[match] = self._encode_match(match)
-            if once:
-                return list(chain.from_iterable(once.get(m) or stored[m] for m in matches))
-        return list(chain.from_iterable(map(stored.__getitem__, matches)))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Matches not met before are sorted, so that each shares prefixes with the one before."""
+        found = [self.find(text) for text in texts]
+        every = set(chain.from_iterable(found))
+        stored, once = self.stored, {}
+        if len(stored) > _STORE:
+            stored.clear()
+        encoding, whole = PrefixEncoding(self.vocabulary), self.vocabulary.ids
+        for data, match in sorted((m.encode("utf-8"), m) for m in every if m not in stored):
+            if data in whole:
+                ids = [whole[data]]
+            else:
+                encoding.restart(data)
+                ids = encoding.tokens()
+            (stored if len(match) <= _STORED_CHARS else once)[match] = ids
+        both = stored if not once else ChainMap(once, stored)
+        return [list(chain.from_iterable(map(both.__getitem__, matches))) for matches in found]
+
+    def in_blocks(self, texts: Iterable[str | None]) -> Iterator[list[int]]:
+        """The ids of text after text; blocks bound what is held at once."""
+        block, held = [], 0
+        for text in texts:
+            block.append(text or "")
+            held += len(block[-1])
+            if held > _BLOCK_CHARS:
+                yield from self.encode_all(block)
+                block, held = [], 0
+        yield from self.encode_all(block)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
@@ -227,7 +259,7 @@ def encoded(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of()
         for batch in batches:
-            ids = [encoder.encode(x.as_py()) for x in batch.column("text")]
+            ids = list(encoder.in_blocks(x.as_py() for x in batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
             )
@@ -265,8 +297,7 @@ def round_trips(
         decimal = {i: str(i) for i in encoder.vocabulary.bytes_of}.__getitem__
         for batch in batches:
             counts, of_ids, of_data = [], [], []
-            for text in batch.column("text"):
-                ids = encoder.encode(text.as_py())
+            for ids in encoder.in_blocks(x.as_py() for x in batch.column("text")):
                 counts.append(len(ids))
                 of_ids.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
                 of_data.append(hashlib.sha256(encoder.decode(ids)).hexdigest())

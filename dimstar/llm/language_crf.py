@@ -278,7 +278,7 @@ class Labeller:
         if len(self.ids) > _STORE:
             self.ids.clear()
             self.known = self.known[:0]
-        new = list(set(words).difference(self.ids))
+        new = [w for w in set(words) if w not in self.ids]
         if new:
             self.ids.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             self.known = np.concatenate([self.known, self.field.emissions(new)])
