@@ -26,6 +26,13 @@ def percent_of_decimal(num: Column, den: Column, digits: int = 1) -> Column:
     return F.round(F.lit(Decimal("100.0")) * num / F.nullif(den, F.lit(0)), digits)
 
 
+def exact_share(num: Column, den: Column, digits: int) -> Column:
+    """``num / den`` of whole numbers with ``digits`` digits, where a decimal quotient has too few."""
+    double = as_number(den) * 2
+    units = F.call_function("div", as_number(num) * F.lit(2 * 10**digits) + as_number(den), double)
+    return units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))
+
+
 def mean(value: Column, digits: int) -> Column:
     """Rounded mean of a whole-number column inside ``agg``; never a rounded mean of a mean."""
     return ratio(F.sum(value.cast("bigint")), F.count(value), digits)

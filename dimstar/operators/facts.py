@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from dimstar.functions import calendar as cal
 from dimstar.functions.labels import asc
-from dimstar.functions.numeric import percent, ratio
+from dimstar.functions.numeric import exact_share, percent
 from dimstar.operators.scd import scd2
-from dimstar.operators.skew import attach_group_stats, running
+from dimstar.operators.skew import attach_group_stats
 
 SHARE = "decimal(9,2)"
 
@@ -82,9 +82,10 @@ def timespan_compress(df: DataFrame, key: Sequence[str], value: str, period: str
     return spans.select("_key.*", *[c for c in spans.columns if c != "_key"])
 
 
-def timespan_expand(spans: DataFrame, horizon: datetime.date, months: int = 3) -> DataFrame:
+def timespan_expand(spans: DataFrame, horizon: datetime.date | Column, months: int = 3) -> DataFrame:
     """A row per period a span covers; an open span runs to ``horizon``. No join is needed."""
-    last = F.least(F.coalesce("expiration_date", F.lit(horizon)), F.lit(horizon))
+    end = F.lit(horizon) if isinstance(horizon, datetime.date) else horizon
+    last = F.coalesce("expiration_date", end)
     periods = F.when(
         F.col("effective_date") <= last,
         F.sequence(F.col("effective_date"), last, F.expr(f"interval {months} months")),
@@ -117,9 +118,7 @@ def market_share(
 ) -> DataFrame:
     """Brand units over market units; the market is every row that shares ``market``."""
     brands = df.groupBy(*market, *brand).agg(F.sum(measure).alias("brand_units"))
-    whole = attach_group_stats(
-        brands, market, {"total_market_units": F.sum("brand_units")}, spread=brand
-    )
+    whole = attach_group_stats(brands, market, {"total_market_units": F.sum("brand_units")})
     return whole.withColumn(
         "market_share_pct", percent(F.col("brand_units"), F.col("total_market_units"), 2)
     )
@@ -134,24 +133,24 @@ def co_promo_group(fact: DataFrame, bridge: DataFrame, on: Sequence[str]) -> Dat
 def bridge_weights(
     alignments: DataFrame, group: Sequence[str], member: str, measure: str, digits: int = 3
 ) -> DataFrame:
-    """Weights > 0 that sum to exactly 1 per group; what rounding leaves goes to rank 1."""
-    placed = running(
-        alignments,
-        group,
-        [F.col(measure).desc_nulls_last(), asc(member)],
-        position="alignment_rank",
-        sums={"_upto": F.col(measure)},
-        group_sums={"_total": "_upto"},
-    )
-    weighted = placed.drop("_upto").withColumn(
-        "_w", ratio(F.col(measure), F.col("_total"), digits)
-    )
-    summed = attach_group_stats(weighted, group, {"_sum": F.sum("_w")}, spread=[member])
-    rest = F.when(F.col("alignment_rank") == 1, 1 - F.col("_sum")).otherwise(F.lit(0))
+    """Weights that sum to exactly 1 per group; what rounding leaves goes to rank 1.
+
+    ``members`` counts the group. The grain bounds it (the reps of one HCP), so plain
+    windows over one shuffle do. Weights are above 0 where a member's share has a digit
+    among ``digits``.
+    """
     kind = f"decimal({digits + 1},{digits})"
-    return summed.withColumn("credit_split_weight", (F.col("_w") + rest).cast(kind)).drop(
-        "_w", "_sum", "_total"
+    whole = Window.partitionBy(*group)
+    ranked = whole.orderBy(F.col(measure).desc_nulls_last(), asc(member))
+    placed = alignments.withColumns(
+        {
+            "alignment_rank": F.row_number().over(ranked),
+            "members": F.count(F.lit(1)).over(whole),
+            "_w": exact_share(F.col(measure), F.sum(measure).over(whole), digits).cast(kind),
+        }
     )
+    rest = F.when(F.col("alignment_rank") == 1, 1 - F.sum("_w").over(whole)).otherwise(F.lit(0))
+    return placed.withColumn("credit_split_weight", (F.col("_w") + rest).cast(kind)).drop("_w")
 
 
 def top_members(

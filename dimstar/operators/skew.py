@@ -4,8 +4,8 @@ A plain ``Window`` puts a whole group into one task. It is used in this package
 where the grain bounds the group (the weeks of one entity, the versions of one key).
 Everything else goes through the operators below:
 
-* ``attach_group_stats`` aggregates with partial aggregation and joins the result back,
-  spreading the rows of hot groups over several join tasks;
+* ``attach_group_stats`` aggregates with partial aggregation and joins the result back in a
+  join whose hot partitions adaptive execution splits;
 * ``running`` ranges the rows over all tasks by (group, order), keeps a small summary
   per range, and adds the summary of the earlier ranges to positions found inside one.
 """
@@ -19,71 +19,33 @@ from pyspark.sql import functions as F
 
 from dimstar.session import settled
 
-# A key is hot with more rows than this, and with more than 1 / MAX_HOT_KEYS of all rows:
-# whatever the size of the data, no more keys than that can be hot.
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-SALTS = 32
-
-
 def as_one(keys: Sequence[str], *more: Column) -> Column:
     """Keys as one struct: equal where all fields are equal, NULL fields included."""
     return F.struct(*[F.col(k) for k in keys], *more)
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > hot_rows).select(*keys)
-
+def join_back(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the columns of ``stats``, which is unique in ``keys``, to ``rows``.
 
-def join_back(
-    rows: DataFrame,
-    stats: DataFrame,
-    keys: Sequence[str],
-    size: str,
-    spread: Sequence[str],
-    hot_rows: int | None = None,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Add the columns of ``stats`` (unique in ``keys``, row count in ``size``) to ``rows``.
-
-    Rows of a hot key take one of ``salts`` values from a hash of ``spread``, and only the
-    stats of hot keys are repeated once per salt. The list of hot keys has a fixed bound
-    and may be broadcast. ``rows`` is a written table, so that counting it costs little.
+    The stats are written first: they are few, and a join whose sides are both plain
+    exchanges lets adaptive execution split the rows of a hot key over many tasks, however
+    many rows the key has.
     """
-    hot_rows = max(hot_rows or HOT_ROWS, rows.count() // MAX_HOT_KEYS)
-    hot = hot_keys(rows, keys, hot_rows).select(as_one(keys).alias("_key"), F.lit(True).alias("_hot"))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0))
-    salted = rows.withColumn("_key", as_one(keys)).join(F.broadcast(hot), "_key", "left")
-    salted = salted.withColumn("_salt", salt.cast("int")).drop("_hot")
-    repeat = F.when(F.col(size) > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1)))
     added = [c for c in stats.columns if c not in keys]
-    repeated = stats.select(
-        *added,
-        as_one(keys).alias("_key"),
-        F.explode(F.coalesce(repeat, F.array(F.lit(0)))).alias("_salt"),
-    )
-    return salted.join(repeated, ["_key", "_salt"]).select(*rows.columns, *added)
+    found = settled(stats.select(as_one(keys).alias("_key"), *added))
+    return rows.withColumn("_key", as_one(keys)).join(found, "_key").select(*rows.columns, *added)
 
 
 def attach_group_stats(
-    rows: DataFrame,
-    keys: Sequence[str],
-    aggs: Mapping[str, Column],
-    spread: Sequence[str],
-    size: str = "_group_rows",
-    **salting: int,
+    rows: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], size: str | None = None
 ) -> DataFrame:
     """Aggregates over a group, on every row of it: a window without order, safe for hot groups.
 
-    The rows are read more than once, so they are settled first.
+    One aggregation, combined before its shuffle, and one join.
     """
-    rows = settled(rows)
-    stats = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(size), *[agg.alias(name) for name, agg in aggs.items()]
-    )
-    out = join_back(rows, stats, keys, size, spread, **salting)
-    return out.drop(size) if size == "_group_rows" else out
+    counted = [F.count(F.lit(1)).alias(size)] if size else []
+    stats = rows.groupBy(*keys).agg(*counted, *[agg.alias(name) for name, agg in aggs.items()])
+    return join_back(rows, stats, keys)
 
 
 def running(

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from dimstar.functions.labels import asc
 from dimstar.functions.numeric import percent, ratio
 from dimstar.operators.skew import attach_group_stats, join_back, running
-from dimstar.session import settled
 
 # --- groups bounded by the grain ---------------------------------------------------
 
@@ -84,7 +83,6 @@ def ranked_by_value(
     rows: DataFrame,
     group: Sequence[str],
     value: str,
-    spread: Sequence[str],
     dense_rank_desc: str | None = None,
     percent_rank: str | None = None,
     group_rows: str | None = None,
@@ -97,10 +95,8 @@ def ranked_by_value(
 
     Both depend on the value alone, so they are found on one row per (group, value) and
     joined back; a NULL value counts as the largest. The same rows give the size of the
-    group, the sum of its values and how many are known. ``spread`` names columns that
-    tell apart the rows that share a value.
+    group, the sum of its values and how many are known.
     """
-    rows = settled(rows)
     counts = rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_ties"))
     ties = F.col("_ties")
     placed = running(
@@ -127,9 +123,9 @@ def ranked_by_value(
         group_known: F.col("_group_known"),
     }
     stats = placed.select(
-        *group, value, "_ties", *[c.alias(name) for name, c in found.items() if name]
+        *group, value, *[c.alias(name) for name, c in found.items() if name]
     )
-    return join_back(rows, stats, [*group, value], "_ties", spread).drop("_ties")
+    return join_back(rows, stats, [*group, value])
 
 
 def share_of_group(
@@ -137,10 +133,9 @@ def share_of_group(
     group: Sequence[str],
     condition: Column,
     out: str,
-    spread: Sequence[str],
     digits: int = 1,
 ) -> DataFrame:
     """Percentage of the rows of a group that meet a condition, on every row."""
     hits = F.sum(F.when(condition, 1).otherwise(0))
-    found = attach_group_stats(rows, group, {"_hits": hits}, spread, size="_of")
+    found = attach_group_stats(rows, group, {"_hits": hits}, size="_of")
     return found.withColumn(out, percent(F.col("_hits"), F.col("_of"), digits)).drop("_hits", "_of")

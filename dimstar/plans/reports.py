@@ -118,7 +118,7 @@ def below_quota_coverage(
         ),
     )
     rows = windows.share_of_group(
-        rows, at_rep, visited == 0, "pct_a_tier_unvisited", spread=["hcp_key"]
+        rows, at_rep, visited == 0, "pct_a_tier_unvisited"
     )
     return rows.select(
         "fiscal_quarter_key",
@@ -212,7 +212,6 @@ def attainment_ranking(tables: Tables, quarter: Day | None = Day(2023, 8, 1)) ->
         _quota_rows(tables, quarter),
         group,
         "attainment_pct",
-        spread=["rep_key"],
         dense_rank_desc="district_rank",
         percent_rank="percentile_in_district",
         group_rows="reps_in_district",
@@ -736,7 +735,6 @@ def drill_across_top_decile(
         rows,
         ["fiscal_quarter_key"],
         {"_visits": F.sum("top_decile_visits")},
-        spread=["rep_key"],
         size="reps_in_quarter",
     )
     made, n = F.col("top_decile_visits"), F.col("reps_in_quarter")

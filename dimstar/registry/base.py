@@ -205,20 +205,22 @@ fct_prescription_weekly AS (
   LEFT JOIN hcp_versions h ON w.custkey = h.custkey
     AND (h.version = 1 OR h.effective_date <= week_end_date_key)
     AND (h.expiration_date IS NULL OR h.expiration_date >= week_end_date_key)),
-top_reps AS (
-  SELECT * FROM (
-    SELECT custkey, suppkey, qty,
-           row_number() OVER (PARTITION BY custkey ORDER BY qty DESC, suppkey) AS alignment_rank
-    FROM (SELECT custkey, suppkey, sum(qty) AS qty FROM sales GROUP BY custkey, suppkey))
-  WHERE alignment_rank <= 2),
+rep_shares AS (
+  SELECT custkey, suppkey, qty, r AS alignment_rank, members,
+         nano + CASE WHEN r = 1 THEN 1000000000 - sum(nano) OVER (PARTITION BY custkey) ELSE 0 END
+           AS weight_nano
+  FROM (SELECT *, {rounded_units('qty', 'sum(qty) OVER (PARTITION BY custkey)', 9)} AS nano,
+               count(*) OVER (PARTITION BY custkey) AS members,
+               row_number() OVER (PARTITION BY custkey ORDER BY qty DESC, suppkey) AS r
+        FROM (SELECT custkey, suppkey, sum(qty) AS qty FROM sales GROUP BY custkey, suppkey))),
 bridge AS (
   SELECT t.custkey AS group_key, h.hcp_key, r.rep_key,
          {product_key(f"'{ad.SPLIT_BRAND}'", _SPLIT)} AS product_key,
-         CASE WHEN alignment_rank = 1 THEN 600 ELSE 400 END AS weight_milli
-  FROM top_reps t
+         CAST(weight_nano AS BIGINT) AS weight_nano
+  FROM rep_shares t
   JOIN hcp_versions h ON t.custkey = h.custkey AND h.is_current
   JOIN rep_versions r ON t.suppkey = r.suppkey AND r.is_current
-  WHERE t.custkey IN (SELECT custkey FROM top_reps WHERE alignment_rank = 2)),
+  WHERE t.members > 1),
 quota_actuals AS (
   SELECT suppkey, brand, {quarter_start('day')} AS fiscal_quarter_key, sum(qty) AS actual_units
   FROM sales GROUP BY 1, 2, 3),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +12,6 @@ from dimstar.registry.base import Query, rounded, rounded_units
 from dimstar.sources import adapter as ad
 from dimstar.sources.adapter import SalesStar
 
-HORIZON = datetime.date(2001, 8, 1)
-
-
 def yearly_quotas(s: SalesStar) -> DataFrame:
     return s["quota_base"].select("suppkey", "brand", "fiscal_quarter_key", "quota_units")
 
@@ -51,10 +46,15 @@ def territory_share(s: SalesStar) -> DataFrame:
 
 
 def weights(s: SalesStar) -> DataFrame:
-    """Shares of the five largest reps of each HCP, as weights."""
+    """Shares of all reps of each HCP, as weights of three digits."""
     totals = s["sales"].groupBy("custkey", "suppkey").agg(F.sum("qty").alias("qty"))
-    members = facts.top_members(totals, ["custkey"], "suppkey", "qty", 5).drop("alignment_rank")
-    return facts.bridge_weights(members, ["custkey"], "suppkey", "qty")
+    return facts.bridge_weights(totals, ["custkey"], "suppkey", "qty")
+
+
+def expanded(s: SalesStar) -> DataFrame:
+    """The spans as quarters again; those still open run to the last quarter of the fact."""
+    last = yearly_quotas(s).agg(F.max("fiscal_quarter_key")).scalar()
+    return facts.timespan_expand(spans(s), last)
 
 
 def visit_rows(s: SalesStar) -> DataFrame:
@@ -118,9 +118,9 @@ QUERIES = [
     Query(
         "f_timespan_expand",
         "suppkey:i brand:s quota_units:i period_key:t",
-        lambda s: facts.timespan_expand(spans(s), HORIZON),
+        expanded,
         f"SELECT suppkey, brand, quota_units, CAST(unnest(generate_series(effective_date, "
-        f"least(coalesce(expiration_date, DATE '{HORIZON}'), DATE '{HORIZON}'), INTERVAL 3 "
+        f"coalesce(expiration_date, (SELECT max(fiscal_quarter_key) FROM quota_base)), INTERVAL 3 "
         f"MONTH)) AS DATE) AS period_key FROM ({SPANS_SQL})",
     ),
     Query(
@@ -166,7 +166,7 @@ QUERIES = [
         "f_bridge",
         "group_key:i hcp_key:i rep_key:i product_key:i credit_split_weight:d",
         lambda s: s["bridge_hcp_rep_alignment"],
-        "SELECT *, weight_milli / 1000.0 AS credit_split_weight FROM bridge",
+        "SELECT *, weight_nano / 1000000000.0 AS credit_split_weight FROM bridge",
     ),
     Query(
         "f_bridge_weights",
@@ -175,8 +175,8 @@ QUERIES = [
         f"WITH members AS (SELECT *, row_number() OVER w AS r FROM (SELECT custkey, suppkey, "
         f"sum(qty) AS qty FROM sales GROUP BY ALL) WINDOW w AS (PARTITION BY custkey ORDER BY qty "
         f"DESC, suppkey)), shares AS (SELECT *, "
-        f"{rounded_units('qty', 'sum(qty) OVER (PARTITION BY custkey)', 3)} AS milli FROM members "
-        f"WHERE r <= 5) SELECT *, r AS alignment_rank, (milli + CASE WHEN r = 1 THEN 1000 - "
+        f"{rounded_units('qty', 'sum(qty) OVER (PARTITION BY custkey)', 3)} AS milli FROM members) "
+        f"SELECT *, r AS alignment_rank, (milli + CASE WHEN r = 1 THEN 1000 - "
         f"sum(milli) OVER (PARTITION BY custkey) ELSE 0 END) / 1000.0 AS credit_split_weight "
         f"FROM shares",
     ),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimstar.functions.numeric import percent
-from dimstar.operators import dims, facts, quality
+from dimstar.functions.numeric import percent, ratio
+from dimstar.operators import dims, quality
 from dimstar.registry.base import Query, rounded
 from dimstar.sources import adapter as ad
 from dimstar.sources.adapter import SalesStar
@@ -20,20 +20,15 @@ def null_report(s: SalesStar) -> DataFrame:
 
 
 def loose_weights(s: SalesStar) -> DataFrame:
-    """Rounded shares of the five largest reps, before the remainder is placed."""
+    """Rounded shares of all reps of an HCP, before the remainder is placed."""
     totals = s["sales"].groupBy("custkey", "suppkey").agg(F.sum("qty").alias("qty"))
-    top = facts.top_members(totals, ["custkey"], "suppkey", "qty", 5)
-    whole = s["sales"].groupBy("custkey").agg(F.sum("qty").alias("all_qty"))
-    share = F.col("qty").cast("decimal(20,0)") / F.col("all_qty").cast("decimal(20,0)")
-    return top.join(whole, "custkey").withColumn(
-        "credit_split_weight", F.round(share, 3).cast("decimal(4,3)")
-    )
+    share = ratio(F.col("qty"), F.sum("qty").over(Window.partitionBy("custkey")), 3)
+    return totals.withColumn("credit_split_weight", share.cast("decimal(4,3)"))
 
 
 LOOSE_SQL = f"""(SELECT custkey, suppkey, {rounded('qty', 'all_qty', 3)} AS credit_split_weight
-  FROM (SELECT custkey, suppkey, qty, row_number() OVER (PARTITION BY custkey
-               ORDER BY qty DESC, suppkey) AS r, sum(qty) OVER (PARTITION BY custkey) AS all_qty
-        FROM (SELECT custkey, suppkey, sum(qty) AS qty FROM sales GROUP BY ALL)) WHERE r <= 5)"""
+  FROM (SELECT custkey, suppkey, qty, sum(qty) OVER (PARTITION BY custkey) AS all_qty
+        FROM (SELECT custkey, suppkey, sum(qty) AS qty FROM sales GROUP BY ALL)))"""
 
 
 def shifted_versions(s: SalesStar) -> DataFrame:

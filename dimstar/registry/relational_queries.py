@@ -60,7 +60,7 @@ QUOTAS_SQL = (
 def gap_to_mean(s: SalesStar) -> DataFrame:
     group = ["district", "product_key", "fiscal_quarter_key"]
     out = attach_group_stats(
-        quotas(s), group, {"total": F.sum("attainment_pct")}, ["rep_key"], size="peers"
+        quotas(s), group, {"total": F.sum("attainment_pct")}, size="peers"
     )
     mean = F.col("total") / F.col("peers")
     return out.withColumn("peer_mean", F.round(mean, 1)).withColumn(
@@ -273,7 +273,7 @@ QUERIES = [
         f"{QUOTA_KEYS} place:i",
         lambda s: windows.ranked_by_value(
             quotas(s), ["district", "product_key", "fiscal_quarter_key"], "attainment_pct",
-            ["rep_key"], dense_rank_desc="place",
+            dense_rank_desc="place",
         ),
         f"SELECT *, dense_rank() OVER ({PEERS} ORDER BY attainment_cents DESC NULLS FIRST) "
         f"AS place FROM {QUOTAS_SQL}",
@@ -283,7 +283,7 @@ QUERIES = [
         f"{QUOTA_KEYS} percentile:d",
         lambda s: windows.ranked_by_value(
             quotas(s), ["district", "product_key", "fiscal_quarter_key"], "attainment_pct",
-            ["rep_key"], percent_rank="percentile",
+            percent_rank="percentile",
         ),
         f"SELECT *, CASE WHEN n = 1 THEN 0 ELSE {rounded('(low - 1)', '(n - 1)', 1, 100)} END "
         f"AS percentile FROM (SELECT *, rank() OVER (g ORDER BY attainment_cents NULLS LAST) AS "
@@ -303,7 +303,6 @@ QUERIES = [
         "rep_key:i product_key:i fiscal_quarter_key:t attainment_pct:d pct_below:d",
         lambda s: windows.share_of_group(
             quotas(s), ["rep_key"], F.col("attainment_pct") < 80, "pct_below",
-            spread=["product_key", "fiscal_quarter_key"],
         ),
         f"SELECT *, {rounded('sum(CASE WHEN attainment_cents < 8000 THEN 1 ELSE 0 END) OVER g', 'count(*) OVER g', 1, 100)} "
         f"AS pct_below FROM {QUOTAS_SQL} WINDOW g AS (PARTITION BY rep_key)",
@@ -401,10 +400,10 @@ QUERIES = [
         "j_bridge",
         f"{RX_KEYS} rep_key:i credit_split_weight:d attributed_rx:d",
         split_credit,
-        f"SELECT *, weight_milli / 1000.0 AS credit_split_weight, "
-        f"{rounded('total_rx_count * weight_milli', '1000', 1)} AS attributed_rx "
+        f"SELECT *, weight_nano / 1000000000.0 AS credit_split_weight, "
+        f"{rounded('total_rx_count * weight_nano', '1000000000', 1)} AS attributed_rx "
         f"FROM (SELECT hcp_key, product_key, week_end_date_key, total_rx_count FROM {RX}) "
-        f"JOIN (SELECT hcp_key, rep_key, weight_milli FROM bridge) USING (hcp_key)",
+        f"JOIN (SELECT hcp_key, rep_key, weight_nano FROM bridge) USING (hcp_key)",
     ),
     Query(
         "j_validity_range",
@@ -501,8 +500,8 @@ QUERIES = [
         f"SELECT rep_key, sum(tenths) / 10.0 AS attributed_rx, sum(total_rx_count) AS "
         f"unweighted_rx, (sum(total_rx_count) * 10 - sum(tenths)) / 10.0 AS overcount FROM "
         f"(SELECT rep_key, total_rx_count, "
-        f"{rounded_units('total_rx_count * weight_milli', '1000', 1)} AS tenths FROM {RX} JOIN "
-        f"(SELECT hcp_key, rep_key, weight_milli FROM bridge) USING (hcp_key)) GROUP BY rep_key",
+        f"{rounded_units('total_rx_count * weight_nano', '1000000000', 1)} AS tenths FROM {RX} JOIN "
+        f"(SELECT hcp_key, rep_key, weight_nano FROM bridge) USING (hcp_key)) GROUP BY rep_key",
     ),
     Query(
         "a_by_level", "level:s place:s total_rx:i total_units:i", all_levels, LEVELS_SQL

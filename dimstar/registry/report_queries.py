@@ -210,21 +210,21 @@ QUERIES = [
         ),
         f"""
   WITH credit AS (
-    SELECT r.rep_name, h.full_name AS hcp_name, p.brand_name, b.weight_milli,
-           {rounded_units('w.total_rx_count * b.weight_milli', '1000', 1)} AS rx_tenths,
-           {rounded_units('w.total_units * b.weight_milli', '1000', 0)} AS units,
+    SELECT r.rep_name, h.full_name AS hcp_name, p.brand_name, b.weight_nano,
+           {rounded_units('w.total_rx_count * b.weight_nano', '1000000000', 1)} AS rx_tenths,
+           {rounded_units('w.total_units * b.weight_nano', '1000000000', 0)} AS units,
            w.total_rx_count, w.total_units
     FROM fct_prescription_weekly w
     JOIN bridge b ON w.hcp_key = b.hcp_key
     JOIN dim_hcp h ON w.hcp_key = h.hcp_key AND h.is_current
     JOIN dim_product p ON w.product_key = p.product_key AND p.is_current
     JOIN dim_rep r ON b.rep_key = r.rep_key AND r.is_current)
-  SELECT rep_name, hcp_name, brand_name, weight_milli / 1000.0 AS credit_split_weight,
+  SELECT rep_name, hcp_name, brand_name, weight_nano / 1000000000.0 AS credit_split_weight,
          sum(rx_tenths) / 10.0 AS total_attributed_rx, sum(units) AS total_attributed_units,
          sum(total_rx_count) AS total_unweighted_rx, sum(total_units) AS total_unweighted_units,
          (sum(total_rx_count) * 10 - sum(rx_tenths)) / 10.0 AS rx_overcount_without_bridge,
          sum(total_units) - sum(units) AS units_overcount_without_bridge
-  FROM credit GROUP BY rep_name, hcp_name, brand_name, weight_milli""",
+  FROM credit GROUP BY rep_name, hcp_name, brand_name, weight_nano""",
     ),
     Query(
         "r06_tier_change_impact",

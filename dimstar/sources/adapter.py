@@ -33,7 +33,7 @@ QUOTA_STEP = 25
 BAD_WEEK = datetime.date(2001, 9, 9)
 BAD_BATCH, FIX_BATCH = 9001, 9002
 INFLATION = "1.35"
-WEIGHTS = {1: "0.600", 2: "0.400"}
+WEIGHT_DIGITS = 9  # enough that a rep with one unit of many has a weight above zero
 
 
 def product_id(brand: Column) -> Column:
@@ -431,38 +431,27 @@ def shared_rx(star: SalesStar) -> DataFrame:
     )
 
 
-def build_top_reps(star: SalesStar) -> DataFrame:
-    """The two reps who sold most to an HCP."""
+def build_rep_shares(star: SalesStar) -> DataFrame:
+    """All reps who sold to an HCP, with their shares of its units."""
     totals = star["sales"].groupBy("custkey", "suppkey").agg(F.sum("qty").alias("qty"))
-    return facts.top_members(totals, ["custkey"], "suppkey", "qty", 2)
-
-
-def shared_groups(star: SalesStar) -> DataFrame:
-    """HCPs with two reps; the group is numbered like the HCP."""
-    return (
-        star["top_reps"]
-        .filter("alignment_rank = 2")
-        .select("custkey", F.col("custkey").alias("group_key"))
-    )
+    return facts.bridge_weights(totals, ["custkey"], "suppkey", "qty", WEIGHT_DIGITS)
 
 
 def bridge(star: SalesStar) -> DataFrame:
-    """60 / 40 between the two top reps of a shared HCP."""
-    members = star["top_reps"]
-    shared = members.join(shared_groups(star), "custkey", "left_semi")
+    """The reps of every HCP that has several; the group is numbered like the HCP."""
+    shared = star["rep_shares"].filter("members > 1")
     hcp = star["hcp_versions"].filter("is_current").select("custkey", "hcp_key")
     rep = star["rep_versions"].filter("is_current").select("suppkey", "rep_key")
-    weight = F.when(F.col("alignment_rank") == 1, WEIGHTS[1]).otherwise(WEIGHTS[2])
     return (
         shared.join(hcp, "custkey")
         .join(rep, "suppkey")
         .select(
-            (F.col("custkey") * 10 + F.col("alignment_rank")).alias("alignment_key"),
+            (F.col("custkey") * 1_000_000 + F.col("alignment_rank")).alias("alignment_key"),
             F.col("custkey").alias("group_key"),
             "hcp_key",
             "rep_key",
             product_key_at(F.lit(SPLIT_BRAND), F.lit(SPLIT_DATE)).alias("product_key"),
-            weight.cast("decimal(4,3)").alias("credit_split_weight"),
+            "credit_split_weight",
             F.lit(FIRST_DAY).alias("effective_date"),
             F.lit(None).cast("date").alias("expiration_date"),
             F.lit(True).alias("is_current"),
@@ -628,6 +617,6 @@ BUILDERS = {
     "hcp_snapshots": build_hcp_snapshots,
     "hcp_versions": build_hcp_versions,
     "weekly_sums": build_weekly_sums,
-    "top_reps": build_top_reps,
+    "rep_shares": build_rep_shares,
     "quota_base": build_quota_base,
 }

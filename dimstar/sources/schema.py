@@ -58,7 +58,7 @@ COLUMNS = {
         district string, region string""",
     "bridge_hcp_rep_alignment": """
         alignment_key bigint, group_key bigint, hcp_key bigint, rep_key bigint,
-        product_key bigint, credit_split_weight decimal(4,3), effective_date date,
+        product_key bigint, credit_split_weight decimal(10,9), effective_date date,
         expiration_date date?, is_current boolean""",
     "fct_hcp_visit": """
         visit_key bigint, visit_id string, date_key date, rep_key bigint, hcp_key bigint,

@@ -53,15 +53,12 @@ def test_running_spreads_the_hot_group(rows):
     assert placed.filter("at <> id + 1").count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10_000])
-def test_group_stats_with_and_without_salt(rows, hot_rows):
+def test_group_stats_equal_window(rows):
     g = Window.partitionBy("g")
     expected = rows.select(
         "*", F.count("*").over(g).alias("n"), F.sum("v").over(g).alias("total")
     )
-    found = skew.attach_group_stats(
-        rows, ["g"], {"total": F.sum("v")}, ["id"], size="n", hot_rows=hot_rows, salts=4
-    )
+    found = skew.attach_group_stats(rows, ["g"], {"total": F.sum("v")}, size="n")
     same(found, expected)
 
 
@@ -92,7 +89,7 @@ def test_ranks_with_ties_and_null(rows):
         F.count("v").over(g).alias("known"),
     )
     found = windows.ranked_by_value(
-        rows, ["g"], "v", ["id"], dense_rank_desc="place", percent_rank="pct", group_rows="n",
+        rows, ["g"], "v", dense_rank_desc="place", percent_rank="pct", group_rows="n",
         group_sum="total", group_known="known", ranges=5,
     )
     cast = found.withColumn("pct", F.col("pct").cast("double")).withColumn(
@@ -106,7 +103,7 @@ def test_ranks_when_one_value_is_hot(spark):
         "id", F.lit("g").alias("g"), F.when(F.col("id") < 60, 5).otherwise(F.col("id")).alias("v")
     )
     counts = rows.groupBy("g", "v").agg(F.count("*").alias("n"))
-    back = skew.join_back(rows, counts, ["g", "v"], "n", ["id"], hot_rows=10, salts=8)
+    back = skew.join_back(rows, counts, ["g", "v"])
     assert back.count() == 100
     assert back.filter("v = 5").select("n").distinct().collect()[0][0] == 60
 
@@ -114,7 +111,7 @@ def test_ranks_when_one_value_is_hot(spark):
 def test_share_of_group(rows):
     g = Window.partitionBy("g")
     hit = F.col("id") % 2 == 0
-    found = windows.share_of_group(rows, ["g"], hit, "pct", ["id"])
+    found = windows.share_of_group(rows, ["g"], hit, "pct")
     expected = rows.select(
         "*",
         F.round(

@@ -5,7 +5,6 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from dimstar.operators import skew
 from dimstar.registry import QUERIES
 from tests.compare import connect, difference
 
@@ -40,12 +39,7 @@ def skewed(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.fixture()
-def low_threshold(monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 20)
-
-
 @pytest.mark.parametrize("name", NAMES)
-def test_same_results_under_skew(spark, skewed, low_threshold, name):
+def test_same_results_under_skew(spark, skewed, name):
     query = QUERIES[name]
     assert difference(query.run(spark, skewed), connect(skewed), query.sql()) is None
