@@ -319,7 +319,8 @@ def learn(
         F.col(lang_column).cast("string").alias("lang"),
         _held_out(id_column).alias("held_out"),
     ).where("not held_out and lang is not null and text is not null")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    # Written, so that its size is known before the texts would be shuffled for the join.
+    counts = settled(labelled.groupBy("lang").agg(F.count("*").alias("n")))
     bits = 1 << 30
     draw = F.pmod(F.xxhash64("doc_id", F.lit("learn")), F.lit(bits)) < F.lit(float(bits * docs_per_language)) / F.col("n")
     few = settled(labelled.join(counts, "lang").where(draw).select("doc_id", "text", "lang"))
