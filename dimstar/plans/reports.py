@@ -7,6 +7,7 @@ of them; the groups of the windows then include it.
 from __future__ import annotations
 
 import datetime
+from collections import ChainMap
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
@@ -43,6 +44,32 @@ def _only(df: DataFrame, col: str, value) -> DataFrame:
     return df if value is None else df.filter(F.col(col) == F.lit(value))
 
 
+# Where the key of a version leads to the entity it is a version of.
+ENTITIES = {
+    "rep_key": ("dim_rep", "rep_durable_key"),
+    "hcp_key": ("dim_hcp", "hcp_durable_key"),
+    "product_key": ("dim_product", "brand_name"),
+}
+
+
+def under_current_keys(tables: Tables, **keys: Sequence[str]) -> Tables:
+    """The tables, with the named keys of facts replaced by those of the current versions.
+
+    Facts carry the versions valid at their time; a join to current versions on these keys
+    alone would lose what was recorded under earlier ones.
+    """
+    replaced = {}
+    for name, columns in keys.items():
+        df = tables[name]
+        for key in columns:
+            dim, durable = ENTITIES[key]
+            now = current_rows(tables[dim]).select(durable, F.col(key).alias("_now"))
+            versions = tables[dim].select(key, durable).join(now, durable).select(key, "_now")
+            df = df.join(versions, key).withColumn(key, F.col("_now")).drop("_now")
+        replaced[name] = df
+    return ChainMap(replaced, tables)
+
+
 def _product_names(tables: Tables) -> DataFrame:
     return current_rows(tables["dim_product"]).select("product_key", "brand_name")
 
@@ -139,14 +166,18 @@ def below_quota_coverage(
 def rolling_trend(
     tables: Tables,
     display: tuple[Day, Day] | None = (Day(2023, 6, 1), Day(2023, 10, 1)),
-    lookback_from: Day | None = Day(2023, 3, 5),
+    lookback_from: Day | None = None,
     segments: Sequence[str] = ("A", "B"),
     rows: int = 13,
+    current_only: bool = False,
 ) -> DataFrame:
     """Weekly volume against its mean over the last reported weeks and against the week before.
 
     The look-back filter goes to the scan; the display filter stays above the window.
+    Without a date the look-back starts ``rows`` weeks before the display.
     """
+    if not current_only:
+        tables = under_current_keys(tables, fct_prescription_weekly=["hcp_key", "product_key"])
     rx = tables["fct_prescription_weekly"].select(
         "week_end_date_key", "hcp_key", "product_key", "total_rx_count"
     )
@@ -205,8 +236,12 @@ def attainment_status(attainment: Column) -> Column:
     )
 
 
-def attainment_ranking(tables: Tables, quarter: Day | None = Day(2023, 8, 1)) -> DataFrame:
+def attainment_ranking(
+    tables: Tables, quarter: Day | None = Day(2023, 8, 1), current_only: bool = False
+) -> DataFrame:
     """Each rep against the peers of the district, for the same product and quarter."""
+    if not current_only:
+        tables = under_current_keys(tables, fct_quota_attainment=["rep_key", "product_key"])
     group = ["district", "product_key", "fiscal_quarter_key"]
     ranked = windows.ranked_by_value(
         _quota_rows(tables, quarter),
@@ -244,13 +279,19 @@ def attainment_ranking(tables: Tables, quarter: Day | None = Day(2023, 8, 1)) ->
 
 
 def transfer_attribution(
-    tables: Tables, durable_key: str | None = None, transfer_date: Day | None = None
+    tables: Tables,
+    durable_key: str | None = None,
+    transfer_date: Day | None = None,
+    current_only: bool = False,
 ) -> DataFrame:
     """Visits of reps who moved, by the territory of the visit and the one of today.
 
     Without a date the transfer is the start of the rep's current version. Without a
-    durable key all reps with more than one version are reported.
+    durable key all reps with more than one version are reported. ``current_only`` keeps
+    the visits recorded under the current versions of HCP and product.
     """
+    if not current_only:
+        tables = under_current_keys(tables, fct_hcp_visit=["hcp_key", "product_key"])
     versions = _only(tables["dim_rep"], "rep_durable_key", durable_key)
     if durable_key is None:
         moved = versions.filter(~F.col("is_current")).select("rep_durable_key").distinct()
@@ -304,12 +345,24 @@ def co_promotion_credit(
     hcp_key: int | None = None,
     group_key: int | None = None,
     match_product: bool = False,
+    current_only: bool = False,
 ) -> DataFrame:
     """Weighted credit per rep, and what counting every rep in full would report.
 
     Credit is rounded per row before it is summed. ``match_product`` restricts the split
-    to the product the alignment names.
+    to the product the alignment names. An HCP's group is the one the bridge gives it;
+    ``current_only`` reads the group stored with the rows of current versions.
     """
+    if not current_only:
+        tables = under_current_keys(
+            tables,
+            fct_prescription_weekly=["hcp_key", "product_key"],
+            bridge_hcp_rep_alignment=["hcp_key", "rep_key", "product_key"],
+        )
+        rx = tables["fct_prescription_weekly"]
+        groups = current_rows(tables["bridge_hcp_rep_alignment"]).select("hcp_key", "group_key")
+        rx = rx.drop("group_key").join(groups.distinct(), "hcp_key")
+        tables = ChainMap({"fct_prescription_weekly": rx}, tables)
     rx = _only(_only(tables["fct_prescription_weekly"], "hcp_key", hcp_key), "group_key", group_key)
     rx = rx.filter(F.col("group_key").isNotNull()).select(
         "hcp_key", "product_key", "group_key", "total_rx_count", "total_units"
@@ -437,8 +490,12 @@ def yoy_trend(actual: Column, before: Column, band: str = "0.10") -> Column:
     )
 
 
-def yoy_attainment(tables: Tables, quarter: Day | None = Day(2023, 8, 1)) -> DataFrame:
+def yoy_attainment(
+    tables: Tables, quarter: Day | None = Day(2023, 8, 1), current_only: bool = False
+) -> DataFrame:
     """This quarter against the same quarter a year before, with a running district total."""
+    if not current_only:
+        tables = under_current_keys(tables, fct_quota_attainment=["rep_key", "product_key"])
     actual, before = F.col("actual_units"), F.col("prior_year_actual_units")
     rows = (
         _quota_rows(tables, quarter)
@@ -600,9 +657,15 @@ def market_share_trend(
 
 
 def decile_validation(
-    tables: Tables, n: int = 10, direction: str = "highest_first", mismatches_only: bool = True
+    tables: Tables,
+    n: int = 10,
+    direction: str = "highest_first",
+    mismatches_only: bool = True,
+    current_only: bool = False,
 ) -> DataFrame:
     """Stored deciles that observed volume no longer supports."""
+    if not current_only:
+        tables = under_current_keys(tables, fct_prescription_weekly=["hcp_key", "product_key"])
     volume = (
         tables["fct_prescription_weekly"]
         .groupBy("hcp_key", "product_key")
@@ -649,12 +712,18 @@ def decile_validation(
 
 
 def indication_impact(
-    tables: Tables, brand: str | None = None, current_only: bool = False
+    tables: Tables,
+    brand: str | None = None,
+    current_only: bool = False,
+    current_hcps_only: bool = False,
 ) -> DataFrame:
     """Volume before and after a product's indication was extended, by specialty.
 
     All versions of a product are read; ``current_only`` keeps just the current one.
+    ``current_hcps_only`` keeps the rows recorded under the current versions of HCPs.
     """
+    if not current_hcps_only:
+        tables = under_current_keys(tables, fct_prescription_weekly=["hcp_key"])
     products = _only(tables["dim_product"], "brand_name", brand)
     if current_only:
         products = current_rows(products)
@@ -710,13 +779,21 @@ def indication_impact(
 
 
 def drill_across_top_decile(
-    tables: Tables, quarter: Day | None = Day(2023, 8, 1), threshold: int = 80, decile: int = 10
+    tables: Tables,
+    quarter: Day | None = Day(2023, 8, 1),
+    threshold: int = 80,
+    decile: int = 10,
+    current_only: bool = False,
 ) -> DataFrame:
     """Are reps below quota also below average on visits to HCPs of the top decile?
 
     Quota and visits are each brought to rep and quarter before they are joined. The
     average is over all reps with a quota in the quarter, those without a visit included.
     """
+    if not current_only:
+        tables = under_current_keys(
+            tables, fct_quota_attainment=["rep_key"], fct_hcp_visit=["rep_key", "hcp_key"]
+        )
     quotas = _only(tables["fct_quota_attainment"], "fiscal_quarter_key", quarter)
     at = ["fiscal_quarter_key", "rep_key"]
     per_rep = quotas.groupBy(*at).agg(

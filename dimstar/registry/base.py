@@ -274,5 +274,33 @@ quota_rows AS (
   SELECT q.*, r.rep_name, r.district, r.current_territory_name, p.brand_name
   FROM fct_quota_attainment q
   JOIN dim_rep r ON q.rep_key = r.rep_key AND r.is_current
-  JOIN dim_product p ON q.product_key = p.product_key AND p.is_current)
+  JOIN dim_product p ON q.product_key = p.product_key AND p.is_current),
+hcp_now AS (
+  SELECT v.hcp_key AS old, c.hcp_key AS now FROM hcp_versions v
+  JOIN hcp_versions c ON v.custkey = c.custkey AND c.is_current),
+rep_now AS (
+  SELECT v.rep_key AS old, c.rep_key AS now FROM rep_versions v
+  JOIN rep_versions c ON v.suppkey = c.suppkey AND c.is_current),
+product_now AS (
+  SELECT v.product_key AS old, c.product_key AS now FROM dim_product v
+  JOIN dim_product c ON v.brand_name = c.brand_name AND c.is_current),
+rx_now AS (
+  SELECT w.* REPLACE (h.now AS hcp_key, p.now AS product_key) FROM fct_prescription_weekly w
+  JOIN hcp_now h ON w.hcp_key = h.old JOIN product_now p ON w.product_key = p.old),
+rx_hcp_now AS (
+  SELECT w.* REPLACE (h.now AS hcp_key) FROM fct_prescription_weekly w
+  JOIN hcp_now h ON w.hcp_key = h.old),
+visits_now AS (
+  SELECT v.* REPLACE (h.now AS hcp_key, p.now AS product_key) FROM fct_hcp_visit v
+  JOIN hcp_now h ON v.hcp_key = h.old JOIN product_now p ON v.product_key = p.old),
+rep_visits_now AS (
+  SELECT v.* REPLACE (h.now AS hcp_key, r.now AS rep_key) FROM fct_hcp_visit v
+  JOIN hcp_now h ON v.hcp_key = h.old JOIN rep_now r ON v.rep_key = r.old),
+quota_now AS (
+  SELECT q.* REPLACE (r.now AS rep_key, p.now AS product_key) FROM fct_quota_attainment q
+  JOIN rep_now r ON q.rep_key = r.old JOIN product_now p ON q.product_key = p.old),
+quota_rows_now AS (
+  SELECT q.*, r.rep_name, r.district, r.current_territory_name, p.brand_name
+  FROM quota_now q
+  JOIN dim_rep r ON q.rep_key = r.rep_key JOIN dim_product p ON q.product_key = p.product_key)
 """

@@ -26,7 +26,7 @@ def new_root(s: SalesStar) -> str:
 
 
 def appended(s: SalesStar) -> DataFrame:
-    """The bad batch, its correction, and the bad batch once more, as after a failed load."""
+    """Every batch, and the bad one first and again, as after a failed load."""
     root = new_root(s)
     loaded = s["rx_with_batches"].withColumns(
         {
@@ -35,7 +35,8 @@ def appended(s: SalesStar) -> DataFrame:
             "prescription_key": hash_key([*GRAINS[RX], "audit_key"]),
         }
     )
-    for batch in (ad.BAD_BATCH, ad.FIX_BATCH, ad.BAD_BATCH):
+    batches = [r["audit_key"] for r in s["dim_audit"].select("audit_key").collect()]
+    for batch in (ad.BAD_BATCH, *sorted(batches)):
         io.append_batch(loaded.filter(F.col("audit_key") == batch), root, RX, batch)
     return (
         io.read_table(s.spark, root, RX)
@@ -57,8 +58,8 @@ def clustered(s: SalesStar) -> DataFrame:
     return s.spark.read.parquet(path)
 
 
-def taken_in(s: SalesStar) -> DataFrame:
-    """Orders written as CSV with some unreadable totals, and the rows that can be loaded."""
+def vendor_batch(s: SalesStar) -> DataFrame:
+    """Orders written as CSV with some unreadable totals, and read again."""
     path = new_root(s)
     total = F.when(F.col("o_totalprice") > DEAR, "n/a").otherwise(
         F.col("o_totalprice").cast("decimal(12,2)").cast("string")
@@ -76,7 +77,7 @@ def taken_in(s: SalesStar) -> DataFrame:
             T.StructField("total", T.DecimalType(12, 2)),
         ]
     )
-    return io.accepted(io.read_batch(s.spark, path, kind))
+    return io.read_batch(s.spark, path, kind)
 
 
 QUERIES = [
@@ -85,8 +86,7 @@ QUERIES = [
         "audit_key:i week_end_date_key:t product_key:i row_count:i total_units:i",
         appended,
         f"SELECT audit_key, week_end_date_key, product_key, count(*) AS row_count, "
-        f"sum(total_units) AS total_units FROM rx_with_batches WHERE audit_key IN "
-        f"({ad.BAD_BATCH}, {ad.FIX_BATCH}) GROUP BY ALL",
+        f"sum(total_units) AS total_units FROM rx_with_batches GROUP BY ALL",
     ),
     Query(
         "io_rebuild",
@@ -103,7 +103,15 @@ QUERIES = [
     Query(
         "io_read_batch",
         "o_orderkey:i o_orderdate:t o_orderstatus:s total:d",
-        taken_in,
+        lambda s: io.accepted(vendor_batch(s)),
         f"SELECT *, o_totalprice AS total FROM orders WHERE o_totalprice <= {DEAR}",
     ),
+    Query(
+        "io_batch_counts",
+        "source_row_count:i loaded_row_count:i rejected_row_count:i",
+        lambda s: io.batch_counts(vendor_batch(s)),
+        f"SELECT count(*) AS source_row_count, count(*) FILTER (o_totalprice <= {DEAR}) AS "
+        f"loaded_row_count, count(*) FILTER (o_totalprice > {DEAR}) AS rejected_row_count "
+        f"FROM orders",
+    ),
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections import ChainMap
 
 from dimstar.plans import reports as r
@@ -140,7 +141,7 @@ def _ranking(quarter_filter: str) -> str:
 
 DISPLAY = (datetime.date(2001, 8, 1), datetime.date(2001, 10, 31))
 
-QUERIES = [
+_QUERIES = [
     Query(
         "r01_below_quota_coverage",
         COVERAGE_COLUMNS,
@@ -154,15 +155,17 @@ QUERIES = [
         _coverage("D"),
     ),
     Query(
-        "r02_rolling_trend",
+        "r02_rolling_trend_current_only",
         TREND_COLUMNS,
-        lambda s: r.rolling_trend(s, display=None, segments=("A", "B", "C", "D")),
+        lambda s: r.rolling_trend(
+            s, display=None, segments=("A", "B", "C", "D"), current_only=True
+        ),
         _trend("'A', 'B', 'C', 'D'", "TRUE", "TRUE"),
     ),
     Query(
-        "r02_rolling_trend_display_window",
+        "r02_rolling_trend_display_window_current_only",
         TREND_COLUMNS,
-        lambda s: r.rolling_trend(s, display=DISPLAY, lookback_from=None),
+        lambda s: r.rolling_trend(s, display=DISPLAY, current_only=True),
         _trend(
             "'A', 'B'",
             f"week_end_date_key BETWEEN DATE '{DISPLAY[0] - datetime.timedelta(weeks=13)}' "
@@ -171,17 +174,17 @@ QUERIES = [
         ),
     ),
     Query(
-        "r03_attainment_ranking",
+        "r03_attainment_ranking_current_only",
         RANKING_COLUMNS,
-        lambda s: r.attainment_ranking(s, quarter=None),
+        lambda s: r.attainment_ranking(s, quarter=None, current_only=True),
         _ranking("TRUE"),
     ),
     Query(
-        "r04_transfer_attribution",
+        "r04_transfer_attribution_current_only",
         "rep_durable_key:s transfer_period:s territory_at_time_of_visit:s "
         "current_territory_name:s rep_name:s date_key:t hcp_name:s city:s state:s brand_name:s "
         "samples_dropped:i visit_duration_minutes:i visits_in_period:i visit_num_in_period:i",
-        lambda s: r.transfer_attribution(s),
+        lambda s: r.transfer_attribution(s, current_only=True),
         f"""
   SELECT r.rep_durable_key, t.territory_name AS territory_at_time_of_visit,
          r.current_territory_name, r.rep_name, v.date_key, h.full_name AS hcp_name, h.city,
@@ -201,12 +204,12 @@ QUERIES = [
   WHERE r.suppkey % 10 = {ad.TRANSFER_DIGIT}""",
     ),
     Query(
-        "r05_co_promotion_credit",
+        "r05_co_promotion_credit_current_only",
         "rep_name:s hcp_name:s brand_name:s credit_split_weight:d total_attributed_rx:d "
         "total_attributed_units:d total_unweighted_rx:i total_unweighted_units:i "
         "rx_overcount_without_bridge:d units_overcount_without_bridge:d",
         lambda s: r.co_promotion_credit(
-            ChainMap({"fct_prescription_weekly": s["shared_rx"]}, s)
+            ChainMap({"fct_prescription_weekly": s["shared_rx"]}, s), current_only=True
         ),
         f"""
   WITH credit AS (
@@ -253,11 +256,11 @@ QUERIES = [
     FROM periods)""",
     ),
     Query(
-        "r07_yoy_attainment",
+        "r07_yoy_attainment_current_only",
         "rep_name:s district:s current_territory_name:s brand_name:s fiscal_quarter_key:t "
         "quota_units:i actual_units:i attainment_pct:d prior_year_actual_units:i "
         "yoy_unit_growth:i yoy_growth_pct:d yoy_trend:s district_cumulative_yoy_growth:i",
-        lambda s: r.yoy_attainment(s, quarter=None),
+        lambda s: r.yoy_attainment(s, quarter=None, current_only=True),
         f"""
   SELECT *, attainment_cents / 100.0 AS attainment_pct,
          actual_units - prior_year_actual_units AS yoy_unit_growth,
@@ -323,10 +326,10 @@ QUERIES = [
   FROM trend""",
     ),
     Query(
-        "r10_decile_validation",
+        "r10_decile_validation_current_only",
         "full_name:s specialty:s segment:s brand_name:s lifetime_rx_count:i stored_decile:i "
         "calculated_decile:i decile_drift:i decile_status:s",
-        lambda s: r.decile_validation(s),
+        lambda s: r.decile_validation(s, current_only=True),
         """
   WITH placed AS (
     SELECT h.full_name, h.specialty, h.segment, p.brand_name, t.lifetime_rx_count,
@@ -343,11 +346,11 @@ QUERIES = [
   FROM placed WHERE stored_decile <> calculated_decile""",
     ),
     Query(
-        "r11_indication_impact",
+        "r11_indication_impact_current_only",
         "brand_name:s indication_period:s indication:s indication_effective_date:t specialty:s "
         "unique_prescribers:i weeks_of_data:i total_rx:i avg_weekly_rx_per_hcp:d total_new_rx:i "
         "avg_rx_change_vs_prior:d avg_rx_pct_change:d",
-        lambda s: r.indication_impact(s),
+        lambda s: r.indication_impact(s, current_hcps_only=True),
         f"""
   WITH per_hcp AS (
     SELECT hcp_key, product_key, sum(total_rx_count) AS total_rx,
@@ -373,11 +376,11 @@ QUERIES = [
     FROM periods)""",
     ),
     Query(
-        "r12_drill_across_top_decile",
+        "r12_drill_across_top_decile_current_only",
         "fiscal_quarter_key:t rep_key:i rep_name:s district:s quota_units:i actual_units:i "
         "attainment_pct:d top_decile_visits:i reps_in_quarter:i avg_top_decile_visits:d "
         "visit_effort:s",
-        lambda s: r.drill_across_top_decile(s, quarter=None),
+        lambda s: r.drill_across_top_decile(s, quarter=None, current_only=True),
         f"""
   WITH per_rep AS (
     SELECT q.fiscal_quarter_key, q.rep_key, r.rep_name, r.district,
@@ -402,3 +405,44 @@ QUERIES = [
   FROM both_ WHERE cents < 8000""",
     ),
 ]
+
+
+def _complete(name: str, build, **tables: str) -> Query:
+    """The same report over all versions: its SQL form reads facts under current keys."""
+    literal = next(q for q in _QUERIES if q.name == f"{name}_current_only")
+    body = literal.body
+    for table, under_current_keys in tables.items():
+        body = re.sub(rf"\b{table}\b", under_current_keys, body)
+    return Query(name, literal.columns, build, body)
+
+
+_RX, _QUOTAS = {"fct_prescription_weekly": "rx_now"}, {"quota_rows": "quota_rows_now"}
+QUERIES = [
+    *_QUERIES,
+    _complete(
+        "r02_rolling_trend",
+        lambda s: r.rolling_trend(s, display=None, segments=("A", "B", "C", "D")),
+        **_RX,
+    ),
+    _complete(
+        "r02_rolling_trend_display_window",
+        lambda s: r.rolling_trend(s, display=DISPLAY),
+        **_RX,
+    ),
+    _complete("r03_attainment_ranking", lambda s: r.attainment_ranking(s, quarter=None), **_QUOTAS),
+    _complete(
+        "r04_transfer_attribution", r.transfer_attribution, fct_hcp_visit="visits_now"
+    ),
+    _complete("r05_co_promotion_credit", r.co_promotion_credit, **_RX),
+    _complete("r07_yoy_attainment", lambda s: r.yoy_attainment(s, quarter=None), **_QUOTAS),
+    _complete("r10_decile_validation", r.decile_validation, **_RX),
+    _complete(
+        "r11_indication_impact", r.indication_impact, fct_prescription_weekly="rx_hcp_now"
+    ),
+    _complete(
+        "r12_drill_across_top_decile",
+        lambda s: r.drill_across_top_decile(s, quarter=None),
+        fct_quota_attainment="quota_now",
+        fct_hcp_visit="rep_visits_now",
+    ),
+]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from dimstar.sources.schema import PARTITIONS, schema_of
 
 CORRUPT = "_corrupt_record"
+PARSED = "_parsed"
 
 
 def table_path(root: str, name: str) -> str:
@@ -55,19 +56,43 @@ def _replace_folders(df: DataFrame, path: str, folders: Sequence[str]) -> None:
 def append_batch(df: DataFrame, root: str, name: str, batch: int) -> None:
     """Adds the rows of one load batch, stamped with its key.
 
-    The batch key is the last folder level, and a load replaces exactly the folders it
-    writes. A batch that is loaded again after a failure replaces itself instead of
-    doubling its rows; other batches stay untouched.
+    The batch key is the first folder level and a load replaces the batch's folder as a
+    whole. A batch that is loaded again replaces itself, also where it now lacks periods it
+    had before; other batches stay untouched.
     """
+    folders = PARTITIONS.get(name, [])
     stamped = conform(df.withColumn("audit_key", F.lit(batch).cast("bigint")), name)
-    _replace_folders(stamped, table_path(root, name), [*PARTITIONS.get(name, []), "audit_key"])
+    (
+        _spread_for(stamped.drop("audit_key"), folders)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*folders)
+        .parquet(f"{table_path(root, name)}/audit_key={batch}")
+    )
 
 
-def rebuild(df: DataFrame, root: str, name: str, partitions: Sequence[str] | None = None) -> None:
-    """Writes a derived table again; with folder columns only the folders that occur in ``df``."""
+def rebuild(
+    df: DataFrame,
+    root: str,
+    name: str,
+    partitions: Sequence[str] | None = None,
+    whole: bool = False,
+) -> None:
+    """Writes a derived table again; with folder columns only the folders that occur in ``df``.
+
+    With ``whole`` folders that no longer occur go as well.
+    """
     folders = PARTITIONS.get(name, []) if partitions is None else list(partitions)
     path, rows = table_path(root, name), conform(df, name)
-    if folders:
+    if folders and whole:
+        (
+            _spread_for(rows, folders)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(*folders)
+            .parquet(path)
+        )
+    elif folders:
         _replace_folders(rows, path, folders)
     else:
         rows.write.mode("overwrite").parquet(path)
@@ -76,7 +101,11 @@ def rebuild(df: DataFrame, root: str, name: str, partitions: Sequence[str] | Non
 def read_batch(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True
 ) -> DataFrame:
-    """Vendor CSV with a given schema. Rows that do not parse keep their text in a column."""
+    """Vendor CSV with a given schema. Rows that do not parse keep their text in a column.
+
+    Those that do have a hash of their values in another: it refers to all columns, as Spark
+    refuses to read the text of bad rows alone.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     return (
         spark.read.schema(with_corrupt)
@@ -84,22 +113,24 @@ def read_batch(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
+        .withColumn(PARSED, F.when(F.col(CORRUPT).isNull(), F.xxhash64(*schema.names)))
     )
 
 
 def accepted(batch: DataFrame) -> DataFrame:
-    return batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return batch.filter(F.col(PARSED).isNotNull()).drop(CORRUPT, PARSED)
 
 
 def rejected(batch: DataFrame) -> DataFrame:
-    return batch.filter(F.col(CORRUPT).isNotNull())
+    return batch.filter(F.col(PARSED).isNull()).drop(PARSED)
 
 
 def batch_counts(batch: DataFrame) -> DataFrame:
-    """Rows received and rows fit to load, for the audit dimension."""
+    """Rows received, fit to load and rejected, for the audit dimension."""
     return batch.agg(
         F.count(F.lit(1)).alias("source_row_count"),
-        F.sum(F.col(CORRUPT).isNull().cast("bigint")).alias("loaded_row_count"),
+        F.count(PARSED).alias("loaded_row_count"),
+        (F.count(F.lit(1)) - F.count(PARSED)).alias("rejected_row_count"),
     )
 
 

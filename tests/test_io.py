@@ -64,6 +64,24 @@ def test_append_batch_is_repeatable(spark, tmp_path):
     assert df.filter("group_key is not null").count() == 0
 
 
+def test_a_batch_loaded_again_without_a_period_loses_it(spark, tmp_path):
+    root, name = str(tmp_path), "fct_prescription_weekly"
+    both = weekly(spark, D(2024, 3, 3), 1).unionByName(weekly(spark, D(2024, 3, 10), 1))
+    io.append_batch(both, root, name, 7)
+    io.append_batch(weekly(spark, D(2024, 3, 3), 1), root, name, 8)
+    io.append_batch(weekly(spark, D(2024, 3, 3), 1), root, name, 7)
+    df = io.read_table(spark, root, name)
+    assert rows(df.groupBy("audit_key", "week_end_date_key").count(), "audit_key", "count") == [(7, 4), (8, 4)]
+
+
+def test_rebuild_as_a_whole_drops_folders_that_vanish(spark, tmp_path):
+    root, name = str(tmp_path), "fct_hcp_coverage_target"
+    io.rebuild(targets(spark, D(2023, 8, 1), 5).unionByName(targets(spark, D(2023, 11, 1), 3)), root, name)
+    io.rebuild(targets(spark, D(2023, 8, 1), 2), root, name, whole=True)
+    df = io.read_table(spark, root, name)
+    assert rows(df.groupBy("fiscal_quarter_key").count(), "fiscal_quarter_key", "count") == [(D(2023, 8, 1), 2)]
+
+
 def test_conform_names_what_is_missing(spark):
     with pytest.raises(ValueError, match="coverage_key, fiscal_quarter_key"):
         io.conform(spark.range(1).select(F.col("id").alias("rep_key")), "fct_hcp_coverage_target")
@@ -75,10 +93,11 @@ def test_csv_batch_keeps_bad_rows(spark, tmp_path):
     kind = T.StructType([
         T.StructField("week", T.DateType()), T.StructField("hcp", T.LongType()), T.StructField("n", T.IntegerType()),
     ])
-    batch = io.read_batch(spark, str(tmp_path / "in"), kind).cache()
+    batch = io.read_batch(spark, str(tmp_path / "in"), kind)
     assert rows(io.accepted(batch), "hcp", "n") == [(1, 5), (2, 7)]
     assert rows(io.rejected(batch), io.CORRUPT) == [("2024-03-03,x,6",)]
-    assert tuple(io.batch_counts(batch).first()) == (3, 2)
+    assert io.accepted(batch).count() == 2 and io.rejected(batch).count() == 1
+    assert tuple(io.batch_counts(batch).first()) == (3, 2, 1)
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])

@@ -243,7 +243,7 @@ def credit_tables(spark, base):
 
 
 def test_credit_split(spark, base):
-    out = r.co_promotion_credit(credit_tables(spark, base), 4, 1)
+    out = r.co_promotion_credit(credit_tables(spark, base), 4, 1, current_only=True)
     # 7702 and twice 7 prescriptions; units are rounded per row before they are summed
     assert rows(out.filter("brand_name = 'Alpha'"), "rep_name", "total_attributed_rx", "total_attributed_units",
                 "total_unweighted_rx", "rx_overcount_without_bridge") == [
@@ -252,8 +252,43 @@ def test_credit_split(spark, base):
     ]
 
 
+def test_reports_read_what_earlier_versions_recorded(spark, base):
+    """Two versions of one HCP and of one rep: all rows by default, the last version's by choice."""
+    hcps = frame(spark, HCP, [
+        hcp(2, "Dr M", "B", end=D(2024, 1, 14), durable="H-M"), hcp(3, "Dr M", "A", start=D(2024, 1, 15), durable="H-M"),
+    ])
+    bridge = frame(
+        spark, "group_key bigint, hcp_key bigint, rep_key bigint, product_key bigint, w string, is_current boolean",
+        [(1, 3, 2, 1, "0.600", True), (1, 3, 3, 1, "0.400", True)],
+    ).withColumn("credit_split_weight", F.col("w").cast("decimal(10,9)"))
+    weeks = [rx(D(2024, 1, 7), 2, 10), rx(D(2024, 1, 14), 2, 20), rx(D(2024, 1, 21), 3, 30)]
+    tables = {
+        **base,
+        "dim_hcp": hcps,
+        "dim_rep": frame(spark, REP, [
+            rep(1, "Ann", durable="R-A", current=False), rep(2, "Ann", durable="R-A"), rep(3, "Bob"),
+        ]),
+        "bridge_hcp_rep_alignment": bridge,
+        "fct_prescription_weekly": frame(spark, RX, weeks),
+        "fct_quota_attainment": frame(spark, QUOTA, [quota(1, 70), quota(3, 90)]),
+    }
+    trend = r.rolling_trend(tables, display=(D(2024, 1, 14), D(2024, 1, 21)))
+    assert rows(trend, "total_rx_count", "rolling_avg", "prior_week_rx") == [
+        (20, Dec("15.0"), 10), (30, Dec("20.0"), 20),
+    ]
+    literal = r.rolling_trend(tables, display=(D(2024, 1, 14), D(2024, 1, 21)), current_only=True)
+    assert rows(literal, "total_rx_count", "prior_week_rx") == [(30, None)]
+    assert rows(r.attainment_ranking(tables), "rep_name", "district_rank") == [("Ann", 2), ("Bob", 1)]
+    assert r.attainment_ranking(tables, current_only=True).count() == 1
+    assert rows(r.decile_validation(tables, mismatches_only=False), "lifetime_rx_count") == [(60,)]
+    credit = r.co_promotion_credit(tables)
+    assert rows(credit, "rep_name", "total_attributed_rx") == [("Ann", Dec("36.0")), ("Bob", Dec("24.0"))]
+
+
 def test_credit_split_by_product(spark, base):
-    out = r.co_promotion_credit(credit_tables(spark, base), match_product=True)
+    out = r.co_promotion_credit(
+        credit_tables(spark, base), match_product=True, current_only=True
+    )
     assert rows(out, "rep_name", "brand_name", "total_attributed_rx") == [
         ("Ann", "Beta", Dec("6.0")), ("Bob", "Beta", Dec("4.0")),
     ]
