@@ -18,14 +18,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimstar.llm import byte_bpe, language_crf, line_dedup, mixing, ngram_join
-from dimstar.session import configure, shared_folder
+from dimstar.llm import byte_bpe, language_crf, line_dedup, mixing, ngram_join, ready
+from dimstar.session import shared_folder
 
 LANGUAGE_SCORE = 0.4
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
     field = language_crf.learn(docs)
     judged = language_crf.identify(docs, field)
     kept = (judged.lang_pred != language_crf.UND) & (judged.score >= LANGUAGE_SCORE)
@@ -33,18 +34,22 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
     return line_dedup.without_boilerplate(docs, "source")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
     return ngram_join.one_per_group(docs, ngram_join.Similarity(width=5, percent=80))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
     return mixing.mixed(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
     import public_tokenizers
 
     path = public_tokenizers.path(VOCABULARY)
@@ -65,7 +70,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows."""
-    configure(spark)
+    ready(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline/{uuid.uuid4()}"
     for k, (_, stage) in enumerate(STAGES):

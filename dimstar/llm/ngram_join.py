@@ -10,8 +10,8 @@ Within tiles, documents are held against one of their tile, chosen anew in each
 what is linked becomes one group; only tiles that still hold several groups go on, at last
 block by block, each document against each of the other groups. Sizes of sets come first
 (a pair's sizes may differ by the threshold at most, so tiles are cut in bands of size), then
-bitmaps of hashed shingles: bits that differ bound the overlap from above. Pairs that pass are
-settled by intersecting the sorted sets.
+bitmaps of hashed shingles, with two bits a shingle or more: bits that differ bound the overlap
+from above. Pairs that pass are settled by intersecting the sorted sets.
 
 Documents with the same set are one class; a class enters a tile once for each task that meets
 it. Pairs are never expanded inside classes or groups, no tile is gathered in a task, and no
@@ -37,12 +37,13 @@ from pyspark.sql import functions as F
 
 from dimstar.llm.components import components
 from dimstar.llm.filters import filter_of, hit
+from dimstar.llm.hashing import RollingHash
 from dimstar.session import settled
 
 SKETCH = 1 << 16
-BITS = 1024
+LEAST_BITS = 1024
 ROUNDS = 2
-BLOCK = 256
+BLOCK, SMALL = 256, 8
 _STORE = 400_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -54,26 +55,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Words and shingles of texts as 64-bit hashes; keeps the hashes of words it has met."""
+    """Words and shingles of texts as 64-bit hashes."""
 
     def __init__(self, width: int):
         self.width = width
-        self.known: dict[bytes, int] = {}
+        self.hash = RollingHash(505)
         rng = np.random.default_rng(width)
         self.factors = rng.integers(0, 1 << 63, max(width, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def words(self, text: str | None) -> np.ndarray:
-        """Bytes split at just the separators meant, and only A-Z are lower-cased in bytes."""
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        known = self.known
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(known) > _STORE:
-                known.clear()
-            for w in set(words).difference(known):
-                known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        """Only A-Z are lower-cased in bytes."""
+        return self.hash.words((text or "").encode("utf-8", "surrogatepass").lower())
 
     def shingles(self, words: np.ndarray) -> np.ndarray:
         """In the order of the text; a short text is one shingle, told apart by its length."""
@@ -94,11 +86,15 @@ def _class_id(shingle_set: np.ndarray) -> int:
 
 @dataclass(frozen=True)
 class Similarity:
-    """Jaccard similarity of at least percent / 100 of shingles of ``width`` words."""
+    """Jaccard similarity of at least percent / 100, 50 or more, of shingles of ``width`` words."""
 
     width: int = 5
     percent: int = 80
 
+    def __post_init__(self) -> None:
+        if self.width < 1 or not 50 <= self.percent <= 100:
+            raise ValueError("a width from 1 and a percentage from 50 to 100 are needed")
+
     def prefix(self, n: int) -> int:
         return n - -(-n * self.percent // 100) + 1
 
@@ -110,6 +106,38 @@ class Similarity:
         return (total - differing) * (100 + self.percent) >= total * (2 * self.percent)
 
 
+def parities(shingle_set: np.ndarray) -> np.ndarray:
+    """A bitmap: whether an odd number of shingles has the hash of each place.
+
+    Its places are a power of two, at least twice the shingles. A bitmap of half as many is
+    the exclusive or of the two halves, so bitmaps of sets of different sizes can be compared.
+    """
+    places = max(LEAST_BITS, 1 << int(2 * len(shingle_set) - 1).bit_length())
+    at = (shingle_set >> np.uint64(20)).astype(np.int64) % places
+    odd = np.bincount(at, minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _halved(bits: np.ndarray, words: int) -> np.ndarray:
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def _differing(a: Column, b: Column) -> Column:
+    """Places that differ of two bitmaps as arrays, one of which may be twice as long."""
+    xor = lambda x, y: x.bitwiseXOR(y)
+    half = lambda x: F.zip_with(
+        F.slice(x, F.lit(1), F.shiftright(F.size(x), 1)),
+        F.slice(x, F.shiftright(F.size(x), 1) + 1, F.shiftright(F.size(x), 1)),
+        xor,
+    )
+    fold = lambda x, y: F.when(F.size(x) > F.size(y), half(x)).otherwise(x)
+    counts = F.zip_with(fold(a, b), fold(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(counts, F.lit(0), lambda s, x: s + x)
+
+
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = F.col(text_column).cast("string")
     return docs.select(
@@ -167,8 +195,7 @@ def signatures(texts: DataFrame, like: Similarity) -> DataFrame:
                 rank = np.floor(np.log2(rarest) * 4).astype(np.int64)
                 order = np.lexsort((found, rank))[: like.prefix(n)]
                 keys.append(found[order].view(np.int64))
-                odd = np.bincount((found >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS) & 1
-                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                bits.append(parities(found))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -235,9 +262,7 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, like: Simil
     """Of candidate pairs (a, b) the links: bounded by sizes and bitmaps, then intersected."""
     of_a = classes.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"), F.col("text_hash").alias("hash_a"))
     of_b = classes.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"), F.col("text_hash").alias("hash_b"))
-    differing = F.aggregate(
-        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
-    )
+    differing = _differing(F.col("bits_a"), F.col("bits_b"))
     held = settled(
         pairs.distinct()
         .join(of_b, "b")
@@ -267,6 +292,12 @@ def _grouped(tiles: DataFrame, groups: DataFrame | None) -> DataFrame:
     return named.join(several, "key", "left_semi")
 
 
+def _of_three(tiles: DataFrame) -> DataFrame:
+    """Tiles of two are settled by their one pair; the others stay."""
+    large = settled(tiles.groupBy("key").agg(F.count("*").alias("size")).where("size > 2").select("key"))
+    return tiles.join(large, "key", "left_semi")
+
+
 def _to_one(tiles: DataFrame, turn: int) -> DataFrame:
     """Pairs of each class with one of its tile, which is another in every turn.
 
@@ -284,28 +315,55 @@ def _to_one(tiles: DataFrame, turn: int) -> DataFrame:
     return pairs.distinct().join(of_hub, "a").where("group <> of_hub").select("a", "b")
 
 
+def _in_small_tiles(tiles: DataFrame, classes: DataFrame, like: Similarity) -> DataFrame:
+    """The same for tiles of SMALL classes at most, from sizes alone."""
+    named = tiles.join(classes.select("cid", "n"), "cid")
+    held = named.groupBy("key").agg(F.collect_list(F.struct("n", "cid", "group")).alias("held"))
+    partners = lambda x: F.filter(
+        "held",
+        lambda y: (y["cid"] > x["cid"]) & (y["group"] != x["group"]) & like.sizes_fit(x["n"], y["n"]),
+    )
+    pairs = F.transform(
+        "held",
+        lambda x: F.transform(
+            partners(x), lambda y: F.struct(x["cid"].alias("a"), y["cid"].alias("b"))
+        ),
+    )
+    return held.select(F.inline(F.flatten(pairs)))
+
+
 def _by_blocks(tiles: DataFrame, classes: DataFrame, like: Similarity) -> DataFrame:
     """All pairs of classes of different groups in a tile that sizes and bitmaps leave.
 
     A tile is dealt to blocks of about BLOCK classes and each block meets each, so no task
     holds a tile.
     """
-    sizes = tiles.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sizes = settled(tiles.groupBy("key").agg(F.count("*").alias("size")))
+    sized = tiles.join(sizes, "key")
+    small = _in_small_tiles(sized.where(F.col("size") <= SMALL), classes, like)
     dealt = (
-        tiles.join(settled(sizes), "key")
+        sized.where(F.col("size") > SMALL)
         .join(classes.select("cid", "n", "bits"), "cid")
+        .withColumn("blocks", F.ceil(F.col("size") / BLOCK))
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     )
     blocks = settled(
-        dealt.groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct("n", "cid", "group", "bits"))).alias("held"))
+        dealt.groupBy("key", "blocks", "block").agg(
+            F.sort_array(F.collect_list(F.struct("n", "cid", "group", "bits"))).alias("held")
+        )
+    )
+    alone = blocks.where("blocks = 1").select("held", F.col("held").alias("other"))
+    several = blocks.where("blocks > 1")
+    other = several.select("key", F.col("block").alias("other_block"), F.col("held").alias("other"))
+    meet = alone.unionByName(
+        several.join(other, "key").where("block <= other_block").select("held", "other")
     )
-    other = blocks.select("key", F.col("block").alias("other_block"), F.col("held").alias("other"))
-    meet = blocks.join(other, "key").where("block <= other_block").select("held", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def columns(cell: pa.ListScalar) -> tuple[np.ndarray, ...]:
             n, cid, group, bits = cell.values.flatten()
-            return n.to_numpy(), cid.to_numpy(), group.to_numpy(), bits.flatten().to_numpy().reshape(len(n), -1)
+            maps = [np.asarray(x.values) for x in bits]
+            return n.to_numpy(), cid.to_numpy(), group.to_numpy(), maps
 
         for batch in batches:
             left, right = [], []
@@ -316,10 +374,16 @@ def _by_blocks(tiles: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
                     # The other block is in the order of sizes: the band that fits is a run.
                     lo = np.searchsorted(m, -(-n[k] * like.percent // 100))
                     hi = np.searchsorted(m, n[k] * 100 // like.percent, "right")
-                    total = n[k] + m[lo:hi]
-                    differ = np.bitwise_count(bits[k] ^ bits2[lo:hi]).sum(axis=1, dtype=np.int64)
-                    fits = (total - differ) * (100 + like.percent) >= total * 2 * like.percent
-                    at = lo + np.flatnonzero(fits & (group2[lo:hi] != group[k]))
+                    apart = lo + np.flatnonzero(group2[lo:hi] != group[k])
+                    differ = np.zeros(len(apart), np.int64)
+                    for size in {len(bits2[j]) for j in apart}:
+                        own = [i for i, j in enumerate(apart) if len(bits2[j]) == size]
+                        words = min(size, len(bits[k]))
+                        others = _halved(np.stack([bits2[apart[i]] for i in own]), words)
+                        both = np.bitwise_count(_halved(bits[k], words) ^ others)
+                        differ[own] = both.sum(axis=1, dtype=np.int64)
+                    total = n[k] + m[apart]
+                    at = apart[(total - differ) * (100 + like.percent) >= total * 2 * like.percent]
                     left.append(np.minimum(cid2[at], cid[k]))
                     right.append(np.maximum(cid2[at], cid[k]))
             none = np.zeros(0, np.int64)
@@ -327,7 +391,7 @@ def _by_blocks(tiles: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
                 [pa.array(np.concatenate([none, *left])), pa.array(np.concatenate([none, *right]))], ["a", "b"]
             )
 
-    return meet.mapInArrow(run, "a long, b long")
+    return meet.mapInArrow(run, "a long, b long").unionByName(small)
 
 
 def _sketched_classes(signed: DataFrame) -> DataFrame:
@@ -356,6 +420,8 @@ def similar_groups(
         found = settled(verified(_to_one(settled(_grouped(tiles, groups)), turn), texts, classes, like))
         links = found if links is None else links.unionByName(found)
         groups = components(links)
+        if turn == 0:
+            tiles = settled(_of_three(tiles))
     left = settled(_grouped(tiles, groups))
     links = links.unionByName(settled(verified(_by_blocks(left, classes, like), texts, classes, like)))
     groups = components(links)

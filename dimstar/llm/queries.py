@@ -15,12 +15,12 @@ from dimstar.llm import (
     masked_lm,
     mixing,
     ngram_join,
+    ready,
     suffix_dedup,
     url_filter,
     vector_graph,
 )
 from dimstar.llm.url_filter import Rule
-from dimstar.session import configure
 
 URL_RULES = [
     Rule("allow", "com", "/"),
@@ -32,7 +32,7 @@ URL_RULES = [
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder}/{name}.parquet")
+    return ready(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ texts around grams that occur again need to meet. The strings of one anchor in a
 span. Where all spans around a gram are equal, all their strings occur again. The others are
 contested; of each different span one copy goes to a shard by its gram.
 
-A shard sorts the suffixes of its spans by Larsson-Sadakane refinement (order by 8 bytes, then
+A shard sorts the suffixes of its spans by Larsson-Sadakane refinement (order by 7 bytes, then
 doubling, only groups that are not yet told apart are sorted again), takes common prefixes with
 the preceding suffix by Kasai's rule, and reads off the strings whose prefix reaches LENGTH. The
 spans of a very frequent gram are dealt to several shards; these cut their sorted lists of
@@ -44,7 +44,7 @@ from dimstar.session import settled
 
 LENGTH, GRAM = 200, 64
 PIECE = 1 << 19
-SHARD_SPANS, HOT_SPANS = 3000, 2000
+SHARD_SPANS, HOT_SPANS = 1200, 1000
 _STORE = 400_000
 _U = np.uint64
 
@@ -90,25 +90,26 @@ class Anchors:
 def suffix_array(data: np.ndarray) -> np.ndarray:
     """Places in the order of the suffixes that begin there."""
     n = len(data)
-    padded = np.r_[data, np.zeros(8, np.uint8)].astype(_U)
-    key = np.zeros(n, _U)
-    for k in range(8):
-        key = (key << _U(8)) | padded[k : k + n]
-    order = np.argsort(key, kind="stable")
+    # Seven bytes of nine bits each, so that a zero byte differs from the end.
+    padded = np.r_[data.astype(np.int64) + 1, np.zeros(7, np.int64)]
+    key = np.zeros(n, np.int64)
+    for k in range(7):
+        key = (key << 9) | padded[k : k + n]
+    order = np.argsort(key)
     sorted_key = key[order]
     new = np.r_[True, sorted_key[1:] != sorted_key[:-1]]
     rank = np.zeros(n + 1, np.int64)  # of the group a place is in; 0 beyond the end
     rank[order] = np.cumsum(new)
     first = np.flatnonzero(new)
     size = np.diff(np.r_[first, n])
-    height = 8
+    height = 7
     slots = np.flatnonzero(np.repeat(size, size) > 1)  # slots of groups that are not told apart
     rank[order] = np.repeat(first, size) + 1
     while len(slots):
         places = order[slots]
         group = rank[places]
         following = rank[np.minimum(places + height, n)]
-        by = np.lexsort((following, group))
+        by = np.argsort(group * (n + 1) + following)
         places, group, following = places[by], group[by], following[by]
         order[slots] = places
         new = np.r_[True, (group[1:] != group[:-1]) | (following[1:] != following[:-1])]
@@ -203,7 +204,7 @@ def _shard(table: pa.Table) -> pa.Table:
             x, y = (h.of(h.sums(text), at, at + LENGTH) for h in own)
             name = np.where(flags, _U(1), _U(0))
             by = np.argsort(x)
-            borders = (np.arange(1, dealt[i]) * ((1 << 64) // int(dealt[i]))).astype(_U)
+            borders = np.arange(1, dealt[i], dtype=_U) * _U((1 << 64) // int(dealt[i]))
             cuts = np.r_[0, np.searchsorted(x[by], borders), len(by)]
             for r in range(int(dealt[i])):
                 part = by[cuts[r] : cuts[r + 1]]

@@ -56,6 +56,7 @@ def run(spark, rows, like):
 
 def test_groups_as_by_brute_force(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "SMALL", 3)
     for seed, like in ((1, Similarity(4, 85)), (2, Similarity(2, 60)), (3, Similarity(5, 80))):
         texts = edited_texts(seed)
         rows = [(1000 - i, t) for i, t in enumerate(texts)]
