@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +49,18 @@ def drill_across(
     return a.join(b, list(keys), "full_outer")
 
 
-def by_level(fact: DataFrame, dim: DataFrame, key: str, level: str, aggs: Sequence[Column]) -> DataFrame:
-    """Totals at one level of a hierarchy: summed per key first, then per level."""
-    return fact.join(dim.select(key, level), key).groupBy(level).agg(*aggs)
+def by_levels(
+    fact: DataFrame, dim: DataFrame, key: str, levels: Sequence[str], sums: Mapping[str, str]
+) -> DataFrame:
+    """Totals at every level of a hierarchy: level, place and the sums.
+
+    The fact is read once and summed per key before it meets the dimension.
+    """
+    per_key = fact.groupBy(key).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    places = F.array(*[F.struct(F.lit(v).alias("level"), F.col(v).alias("place")) for v in levels])
+    return (
+        per_key.join(dim.select(key, *levels), key)
+        .select(F.inline(places), *sums)
+        .groupBy("level", "place")
+        .agg(*[F.sum(name).alias(name) for name in sums])
+    )

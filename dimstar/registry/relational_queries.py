@@ -226,22 +226,29 @@ def returned_share(s: SalesStar) -> DataFrame:
     return per.withColumn("pct", num.percent(F.col("rows_without_new"), F.col("row_count"), 1))
 
 
-def level(s: SalesStar, name: str) -> DataFrame:
-    sums = [F.sum("total_rx_count").alias("total_rx"), F.sum("total_units").alias("total_units")]
-    return joins.by_level(
-        s["fct_prescription_territory_monthly"], s["dim_territory"].withColumnRenamed(
-            "territory_key", "territory_rollup_key"), "territory_rollup_key", name, sums
-    ).select(F.lit(name).alias("level"), F.col(name).alias("place"), "total_rx", "total_units")
-
-
 LEVELS = ["territory_name", "district_name", "region_name", "zone_name", "national"]
 
 
 def all_levels(s: SalesStar) -> DataFrame:
-    out = level(s, LEVELS[0])
-    for name in LEVELS[1:]:
-        out = out.unionByName(level(s, name))
-    return out
+    return joins.by_levels(
+        s["fct_prescription_territory_monthly"],
+        s["dim_territory"].withColumnRenamed("territory_key", "territory_rollup_key"),
+        "territory_rollup_key",
+        LEVELS,
+        {"total_rx": "total_rx_count", "total_units": "total_units"},
+    )
+
+
+def distinct_counts(s: SalesStar) -> DataFrame:
+    """Two distinct counts of a group, each from rows brought to its own grain first."""
+    per_hcp = s[VISITS].groupBy("rep_key", "hcp_key").agg(F.count(F.lit(1)).alias("n"))
+    per_rep = per_hcp.groupBy("rep_key").agg(
+        F.sum("n").alias("visits"), F.count("hcp_key").alias("hcps")
+    )
+    days = s[VISITS].select("rep_key", "date_key").distinct().groupBy("rep_key").agg(
+        F.count("date_key").alias("days")
+    )
+    return per_rep.join(days, "rep_key")
 
 
 LEVELS_SQL = " UNION ALL ".join(
@@ -446,11 +453,7 @@ QUERIES = [
     Query(
         "a_count_distinct",
         "rep_key:i visits:i hcps:i days:i",
-        lambda s: s[VISITS].groupBy("rep_key").agg(
-            F.count(F.lit(1)).alias("visits"),
-            F.countDistinct("hcp_key").alias("hcps"),
-            F.countDistinct("date_key").alias("days"),
-        ),
+        distinct_counts,
         f"SELECT rep_key, count(*) AS visits, count(DISTINCT hcp_key) AS hcps, "
         f"count(DISTINCT date_key) AS days FROM {VISITS} GROUP BY rep_key",
     ),
