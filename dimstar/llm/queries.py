@@ -113,7 +113,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _BARE = r"trim(x, E' \t\r')"
 
+_REACHED = """
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reached(node, root) AS (
+  SELECT a, a FROM e UNION SELECT e.b, r.root FROM reached r JOIN e ON r.node = e.a),
+least AS (SELECT node, min(root) AS root FROM reached GROUP BY node)"""
+
 ORACLE_SQL = {
+    "op4_embedding_near_dedup": f"""
+WITH RECURSIVE
+v AS (SELECT vec_id, embedding::DOUBLE[] AS x, len(embedding) AS n FROM embeddings),
+usable AS (
+  SELECT * FROM v WHERE n > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(x, lambda c: c <> 0)) > 0),
+l AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM usable p JOIN usable q ON p.n = q.n AND p.vec_id < q.vec_id
+  WHERE list_cosine_similarity(p.x, q.x) >= {vector_graph.THRESHOLD}),{_REACHED}
+SELECT v.vec_id, (SELECT count(*) FROM e WHERE e.a = v.vec_id) AS n_links,
+       coalesce(root, v.vec_id) AS component_id, coalesce(root, v.vec_id) = v.vec_id AS kept
+FROM v LEFT JOIN least ON v.vec_id = node""",
+    "op9_ngram_join": rf"""
+WITH RECURSIVE
+w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+    END) AS held FROM w),
+n AS (SELECT doc_id, len(held) AS size FROM s),
+u AS (SELECT doc_id, unnest(held) AS g FROM s),
+both_ AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM u p JOIN u q ON p.g = q.g
+  WHERE p.doc_id < q.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.size + y.size - c)),{_REACHED}
+SELECT doc_id, size::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM n LEFT JOIN least ON doc_id = node""",
     "op6_line_dedup": f"""
 WITH pages AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS lines,
