@@ -67,7 +67,7 @@ def test_mixture_holds_each_document_as_often_as_taken(spark):
 def test_quotas_are_split_exactly_and_by_chance(spark):
     quotas = spark.createDataFrame([(0, 40), (1, 0), (2, 25), (3, 1)], "sid int, quota long")
     lefts = []
-    for seed in range(60):
+    for seed in range(20):
         rows = split_quotas(quotas, levels=2, seed=seed).collect()
         sums = {}
         for r in rows:
@@ -79,8 +79,8 @@ def test_quotas_are_split_exactly_and_by_chance(spark):
         lefts.append(sum(r["quota"] for r in rows if r["sid"] == 0 and r["shard"] < 2))
     mean = sum(lefts) / len(lefts)
     variance = sum((x - mean) ** 2 for x in lefts) / (len(lefts) - 1)
-    assert abs(mean - 20) < 1.2  # hypergeometric: mean 20, variance 4
-    assert 1.5 < variance < 9
+    assert abs(mean - 20) < 1.8  # hypergeometric: mean 20, variance 4
+    assert 1 < variance < 12
 
 
 def test_odd_rows(spark):
