@@ -399,14 +399,9 @@ def _sketched_classes(signed: DataFrame) -> DataFrame:
     return met.select("cid", "n", "bits", "text_hash").dropDuplicates(["cid"])
 
 
-def similar_groups(
-    docs: DataFrame,
-    like: Similarity = Similarity(),  # noqa: B008 (frozen)
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """One row per document: doc_id, text_hash, n_shingles, component_id (the smallest id
-    reachable by links)."""
+def _rooted(docs: DataFrame, like: Similarity, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """The signed documents; and one row per class: cid, root (of its component), first (the
+    smallest id of the class, nulls last, and its smallest text hash)."""
     texts = _texts(docs, id_column, text_column)
     signed = settled(signatures(texts, like))
     classes = settled(_sketched_classes(signed))
@@ -426,10 +421,22 @@ def similar_groups(
     links = links.unionByName(settled(verified(_by_blocks(left, classes, like), texts, classes, like)))
     groups = components(links)
 
-    own = signed.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("least"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    own = signed.where("cid is not null").groupBy("cid").agg(F.min(first).alias("first"))
     of = groups.select(F.col("node").alias("cid"), "root")
-    rooted = settled(own.join(of, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
-    least = settled(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    return signed, settled(own.join(of, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
+
+
+def similar_groups(
+    docs: DataFrame,
+    like: Similarity = Similarity(),  # noqa: B008 (frozen)
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id, text_hash, n_shingles, component_id (the smallest id
+    reachable by links)."""
+    signed, rooted = _rooted(docs, like, id_column, text_column)
+    least = settled(rooted.groupBy("root").agg(F.min("first")["doc_id"].alias("component_id")))
     named = settled(rooted.join(least, "root").select("cid", "component_id"))
     return signed.join(named, "cid", "left").select(
         "doc_id",
@@ -446,21 +453,16 @@ def one_per_group(
     text_column: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns: of each group the one with the
-    smallest id, and of repeated rows one."""
-    stay = (
-        similar_groups(docs, like, id_column, text_column)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("doc_id", "text_hash", "n_shingles")
-        .agg(F.count("*").alias("rows"))
-    )
-    # Where rows of one id fall into one group with different texts, the first text stays.
-    one = stay.where("n_shingles > 0").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
+    smallest id (nulls last, then the smallest text hash), and of repeated rows one. Groups are
+    told apart by their links, not by their ids; all rows without shingles stay."""
+    signed, rooted = _rooted(docs, like, id_column, text_column)
+    one = settled(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash"))
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col(id_column).alias("own_id"),
         F.xxhash64(F.col(text_column).cast("string")).alias("own_hash"),
     )
     match = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
-    shingled = rows.join(settled(one), match).dropDuplicates(["own_id", "own_hash"])
-    none = settled(stay.where("n_shingles = 0").select("doc_id", "text_hash"))
+    shingled = rows.join(one, match).dropDuplicates(["own_id", "own_hash"])
+    none = settled(signed.where("cid is null").select("doc_id", "text_hash").distinct())
     return shingled.select("row.*").unionByName(rows.join(none, match, "left_semi").select("row.*"))

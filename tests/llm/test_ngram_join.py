@@ -82,3 +82,14 @@ def test_odd_rows(spark):
     assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 1, 3, 4, 5, 6, 7, 8, 9]
     assert similar_groups(empty_documents(spark)).count() == 0
     assert one_per_group(empty_documents(spark)).count() == 0
+
+
+def test_every_group_keeps_one_text_whatever_its_ids(spark):
+    told = lambda k: " ".join(f"{k}x{i}" for i in range(30))
+    rows = [(None, told("a")), (None, told("b")), (None, told("b") + " more"), (None, told("c")), (None, told("c"))]
+    rows += [(7, told("d")), (7, told("e")), (7, told("f")), (7, told("f") + " more"), (8, told("f"))]
+    rows += [(None, told("g")), (9, told("g") + " more"), (5, told("h")), (6, told("h")), (None, None), (None, ""), (7, None)]
+    left = [tuple(r) for r in one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert set(left) <= set(rows) and sum(not t for _, t in left) == 3
+    kept = sorted((t[0], doc_id or 0) for doc_id, t in left if t)
+    assert kept == [("a", 0), ("b", 0), ("c", 0), ("d", 7), ("e", 7), ("f", 7), ("g", 9), ("h", 5)]
