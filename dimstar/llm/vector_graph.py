@@ -11,7 +11,9 @@ candidate that a chosen one is much closer to. The shards' adjacency lists are u
 goes greedily from the shards' medoids with a beam, and from the vector's own place; then every
 vector in range is expanded until no new one in range turns up. What it finds is verified in
 double precision. Each task audits itself: some searches are repeated by brute force, and below
-``RECALL`` it searches again with a wider beam, at last by comparing blocks.
+``RECALL`` it searches again with a wider beam, at last by comparing blocks. A vector's match
+with itself does not count; where the repeated searches hold fewer than ``TRUE_PAIRS`` pairs,
+more are repeated, up to all.
 
 Equal vectors are one class, so copies are counted and never searched. A pair is counted in the
 first of the cells it shares. Tasks return a row per linked class, with its links and the least
@@ -39,7 +41,7 @@ THRESHOLD = 0.95
 SAMPLE, MAX_CENTROIDS, OVERLAP = 20_000, 1024, 3
 CELL_ROWS, PART_ROWS, SHARD_ROWS = 4000, 8000, 1500
 NEAREST, BY_CHANCE, DEGREE, MOST_DEGREE, ALPHA = 48, 16, 20, 48, 1.2
-BEAM, QUERIES, AUDITED, RECALL = 16, 256, 256, 0.99
+BEAM, QUERIES, AUDITED, TRUE_PAIRS, RECALL = 16, 256, 256, 100, 0.99
 _SLACK = 1e-4
 
 
@@ -201,6 +203,23 @@ def _by_blocks(x: np.ndarray, queries: np.ndarray, threshold: float) -> np.ndarr
     return np.concatenate(out)
 
 
+def _true_pairs(x: np.ndarray, queries: np.ndarray, own: np.ndarray | None, threshold: float) -> np.ndarray:
+    """Codes (query * rows + row) of the pairs in range of some queries, or of all where few have
+    any, by comparing blocks; without the pairs of a query with itself."""
+    spread = np.random.default_rng(len(queries)).permutation(len(queries))
+    truth = np.zeros(0, np.int64)
+    for at in range(0, len(queries), AUDITED):
+        asked = spread[at : at + AUDITED]
+        pairs = _by_blocks(x, queries[asked], threshold)
+        q, row = asked[pairs[:, 0]], pairs[:, 1]
+        if own is not None:
+            q, row = q[own[q] != row], row[own[q] != row]
+        truth = np.concatenate([truth, q * len(x) + row])
+        if len(truth) >= TRUE_PAIRS:
+            break
+    return np.unique(truth)
+
+
 def search(
     x: np.ndarray, queries: np.ndarray, own: np.ndarray | None, threshold: float, beam: int = BEAM
 ) -> tuple[np.ndarray, float]:
@@ -211,9 +230,7 @@ def search(
     graph = FlatGraph(x.astype(np.float32))
     q32 = queries.astype(np.float32)
     low = threshold - _SLACK
-    audited = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
-    truth = _by_blocks(graph.x, q32[audited], threshold + _SLACK)
-    truth = np.unique(audited[truth[:, 0]] * len(x) + truth[:, 1])
+    truth = _true_pairs(graph.x, q32, own, threshold + _SLACK)
     recall = 0.0
     for width in (beam, 2 * beam, 4 * beam):
         parts = []

@@ -80,3 +80,20 @@ def test_odd_rows(spark):
         key=str,
     )
     assert near_duplicates(vectors.where("false")).count() == 0
+
+
+def test_the_audit_sees_few_links_that_a_search_loses(monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 32))
+    x[[5, 77, 301]] = x[[400, 401, 402]] + rng.normal(size=(3, 32)) * 0.01
+    x, own = unit_rows(x), np.arange(600)
+    in_range = vector_graph.FlatGraph.in_range
+
+    def only_itself(self, queries, own, threshold, beam):
+        found = in_range(self, queries, own, threshold, beam)
+        return found[own[found[:, 0]] == found[:, 1]]
+
+    monkeypatch.setattr(vector_graph.FlatGraph, "in_range", only_itself)
+    pairs, _ = search(x, x, own, 0.95)
+    want = {(5, 400), (77, 401), (301, 402)}
+    assert {tuple(sorted(p)) for p in pairs.tolist() if p[0] != p[1]} == want
