@@ -101,36 +101,53 @@ def rebuild(
 def read_batch(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True
 ) -> DataFrame:
-    """Vendor CSV with a given schema. Rows that do not parse keep their text in a column.
-
-    Those that do have a hash of their values in another: it refers to all columns, as Spark
-    refuses to read the text of bad rows alone.
+    """Vendor CSV with a given schema, read once; bad rows keep their text.
+
+    Every field is read as text and cast to its stated type afterwards. ``PARSED`` is
+    true where the reader found the right number of fields and every field that is not
+    empty casts; the stated columns then hold the typed values. Other rows keep their
+    text in ``CORRUPT`` (the line as read, or its fields joined by commas where only a
+    cast failed). The flag refers to every field, so no plan reads the corrupt-record
+    column alone, which Spark refuses for raw CSV.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    return (
-        spark.read.schema(with_corrupt)
+    names = schema.names
+    as_text = T.StructType(
+        [T.StructField(n, T.StringType(), True) for n in names]
+        + [T.StructField(CORRUPT, T.StringType(), True)]
+    )
+    raw = (
+        spark.read.schema(as_text)
         .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
-        .withColumn(PARSED, F.when(F.col(CORRUPT).isNull(), F.xxhash64(*schema.names)))
+    )
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    flag = F.col(CORRUPT).isNull()
+    for n in names:
+        flag = flag & (F.col(n).isNull() | typed[n].isNotNull())
+    line = F.concat_ws(",", *[F.coalesce(F.col(n), F.lit("")) for n in names])
+    return raw.select(
+        *[typed[n].alias(n) for n in names],
+        F.when(~flag, F.coalesce(F.col(CORRUPT), line)).alias(CORRUPT),
+        flag.alias(PARSED),
     )
 
 
 def accepted(batch: DataFrame) -> DataFrame:
-    return batch.filter(F.col(PARSED).isNotNull()).drop(CORRUPT, PARSED)
+    return batch.filter(F.col(PARSED)).drop(CORRUPT, PARSED)
 
 
 def rejected(batch: DataFrame) -> DataFrame:
-    return batch.filter(F.col(PARSED).isNull()).drop(PARSED)
+    return batch.filter(~F.col(PARSED)).drop(PARSED)
 
 
 def batch_counts(batch: DataFrame) -> DataFrame:
     """Rows received, fit to load and rejected, for the audit dimension."""
     return batch.agg(
         F.count(F.lit(1)).alias("source_row_count"),
-        F.count(PARSED).alias("loaded_row_count"),
-        (F.count(F.lit(1)) - F.count(PARSED)).alias("rejected_row_count"),
+        F.count_if(F.col(PARSED)).alias("loaded_row_count"),
+        F.count_if(~F.col(PARSED)).alias("rejected_row_count"),
     )
 
 

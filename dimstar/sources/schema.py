@@ -198,16 +198,20 @@ TYPES = {
     "string": T.StringType(),
     "boolean": T.BooleanType(),
     "timestamp_ntz": T.TimestampNTZType(),
-    "decimal(4,3)": T.DecimalType(4, 3),
-    "decimal(9,2)": T.DecimalType(9, 2),
 }
 
 
+def type_of(kind: str) -> T.DataType:
+    """A stated type; decimals of any precision and scale are read from their name."""
+    exact = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
+    return T.DecimalType(int(exact[1]), int(exact[2])) if exact else TYPES[kind]
+
+
 def schema_of(name: str) -> T.StructType:
     fields = []
     for column in re.split(r",\s+", COLUMNS[name].strip()):
         col, kind = column.split()
-        fields.append(T.StructField(col, TYPES[kind.rstrip("?")], kind.endswith("?")))
+        fields.append(T.StructField(col, type_of(kind.rstrip("?")), kind.endswith("?")))
     return T.StructType(fields)
 
 
