@@ -13,6 +13,7 @@ from dimstar.llm import (
     language_crf,
     line_dedup,
     masked_lm,
+    merkle,
     mixing,
     ngram_join,
     ready,
@@ -95,6 +96,10 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return masked_lm.score_documents(_table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(_table(spark, folder, "documents"), "lang")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_ngram_join,
         op10_lm_score,
+        op11_merkle_manifest,
     )
 }
 
