@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from decimal import Decimal
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 
 from dimstar.functions import calendar as cal
 from dimstar.functions.labels import asc
-from dimstar.functions.numeric import exact_share, percent
+from dimstar.functions.numeric import percent
 from dimstar.operators.scd import scd2
-from dimstar.operators.skew import attach_group_stats
+from dimstar.operators.skew import attach_group_stats, running
 
 SHARE = "decimal(9,2)"
 
@@ -133,24 +134,57 @@ def co_promo_group(fact: DataFrame, bridge: DataFrame, on: Sequence[str]) -> Dat
 def bridge_weights(
     alignments: DataFrame, group: Sequence[str], member: str, measure: str, digits: int = 3
 ) -> DataFrame:
-    """Weights that sum to exactly 1 per group; what rounding leaves goes to rank 1.
-
-    ``members`` counts the group. The grain bounds it (the reps of one HCP), so plain
-    windows over one shuffle do. Weights are above 0 where a member's share has a digit
-    among ``digits``.
+    """Weights in whole units of ``10**-digits`` that sum to exactly 1 per group, each above 0.
+
+    Largest remainder with a floor of one unit: every member first gets one unit; the
+    ``10**digits - members`` units left are shared in proportion to ``measure``, whole
+    units down; the units that rounding leaves go one each to the members with the
+    largest remainders, ties to the smaller ``member``. All arithmetic is on whole
+    numbers. A NULL or negative measure counts 0; a group whose measures are all 0
+    shares alike. A group of more than ``10**digits`` members cannot give each a unit:
+    the first ``10**digits`` by remainder (here: by ``member``) get one, the rest 0.
+
+    ``alignment_rank`` ranks by ``measure`` (largest first, then ``member``), ``members``
+    counts the group. ``member`` must be unique inside a group. Group totals come from a
+    combined aggregate and positions from ``running``, so no task holds a whole group,
+    however many members it has.
     """
     kind = f"decimal({digits + 1},{digits})"
-    whole = Window.partitionBy(*group)
-    ranked = whole.orderBy(F.col(measure).desc_nulls_last(), asc(member))
-    placed = alignments.withColumns(
-        {
-            "alignment_rank": F.row_number().over(ranked),
-            "members": F.count(F.lit(1)).over(whole),
-            "_w": exact_share(F.col(measure), F.sum(measure).over(whole), digits).cast(kind),
-        }
+    units = 10**digits
+    big = "decimal(38,0)"
+    x = F.greatest(F.coalesce(F.col(measure), F.lit(0)), F.lit(0)).cast(big)
+    stats = attach_group_stats(
+        alignments.withColumn("_x", x), group, {"_total": F.sum("_x")}, size="members"
+    )
+    even = F.col("_total") == 0
+    share = F.when(even, F.lit(1).cast(big)).otherwise(F.col("_x"))
+    whole = F.when(even, F.col("members").cast(big)).otherwise(F.col("_total"))
+    rest = F.greatest(F.lit(units) - F.col("members"), F.lit(0)).cast(big)
+    quota = (rest * share).cast(big)
+    floored = F.call_function("div", quota, whole)
+    parts = stats.withColumns({"_floor": floored, "_rem": (quota - floored * whole).cast(big)})
+    ranked = running(
+        parts, group, [F.col(measure).desc_nulls_last(), asc(member)], position="alignment_rank"
+    )
+    placed = running(
+        ranked,
+        group,
+        [F.col("_rem").desc(), asc(member)],
+        position="_by_rem",
+        sums={"_floors": F.col("_floor")},
+        group_sums={"_all_floors": "_floors"},
+    )
+    left = F.lit(units) - F.col("members") - F.col("_all_floors")
+    first = (F.col("members") <= units) | (F.col("_by_rem") <= units)
+    got = (
+        first.cast("long")
+        + F.col("_floor")
+        + (F.col("_by_rem") <= left).cast("long")
+    )
+    weight = (got.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(kind)
+    return placed.select(
+        *alignments.columns, "alignment_rank", "members", weight.alias("credit_split_weight")
     )
-    rest = F.when(F.col("alignment_rank") == 1, 1 - F.sum("_w").over(whole)).otherwise(F.lit(0))
-    return placed.withColumn("credit_split_weight", (F.col("_w") + rest).cast(kind)).drop("_w")
 
 
 def top_members(

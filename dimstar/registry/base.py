@@ -60,6 +60,30 @@ def rounded_units(num: str, den: str, digits: int = 0, factor: int = 1) -> str:
     )
 
 
+def apportioned(source: str, group: str, member: str, measure: str, digits: int) -> str:
+    """SQL rows of ``source`` with ``alignment_rank``, ``members`` and ``units``.
+
+    ``units`` of ``10**-digits`` by largest remainder, one unit to each member first,
+    written from the rule alone as an oracle for ``facts.bridge_weights``.
+    """
+    u = 10**digits
+    by = f"PARTITION BY {group}"
+    return f"""(SELECT * EXCLUDE (_x, _t, _q, _fl, _rem, _pr),
+  (CASE WHEN members <= {u} OR _pr <= {u} THEN 1 ELSE 0 END) + _fl
+  + (CASE WHEN _pr <= {u} - members - sum(_fl) OVER ({by}) THEN 1 ELSE 0 END) AS units
+FROM (SELECT *, row_number() OVER ({by} ORDER BY _rem DESC, {member}) AS _pr
+ FROM (SELECT *, _q // _t AS _fl, _q % _t AS _rem
+  FROM (SELECT *, CAST(greatest({u} - members, 0) AS HUGEINT) * _x AS _q
+   FROM (SELECT * EXCLUDE (_x, _t), CASE WHEN _t = 0 THEN 1 ELSE _x END AS _x,
+                CASE WHEN _t = 0 THEN members ELSE _t END AS _t
+    FROM (SELECT *, greatest(coalesce({measure}, 0), 0) AS _x,
+                 sum(greatest(coalesce({measure}, 0), 0)) OVER ({by}) AS _t,
+                 count(*) OVER ({by}) AS members,
+                 row_number() OVER ({by} ORDER BY {measure} DESC NULLS LAST, {member})
+                   AS alignment_rank
+          FROM {source}))))))"""
+
+
 def rounded(num: str, den: str, digits: int, factor: int = 1) -> str:
     """The same as a number: whole units over a power of ten, exact to the last bit."""
     return f"(CAST({rounded_units(num, den, digits, factor)} AS DOUBLE) / {10**digits})"
@@ -206,13 +230,10 @@ fct_prescription_weekly AS (
     AND (h.version = 1 OR h.effective_date <= week_end_date_key)
     AND (h.expiration_date IS NULL OR h.expiration_date >= week_end_date_key)),
 rep_shares AS (
-  SELECT custkey, suppkey, qty, r AS alignment_rank, members,
-         nano + CASE WHEN r = 1 THEN 1000000000 - sum(nano) OVER (PARTITION BY custkey) ELSE 0 END
-           AS weight_nano
-  FROM (SELECT *, {rounded_units('qty', 'sum(qty) OVER (PARTITION BY custkey)', 9)} AS nano,
-               count(*) OVER (PARTITION BY custkey) AS members,
-               row_number() OVER (PARTITION BY custkey ORDER BY qty DESC, suppkey) AS r
-        FROM (SELECT custkey, suppkey, sum(qty) AS qty FROM sales GROUP BY custkey, suppkey))),
+  SELECT custkey, suppkey, qty, alignment_rank, members, units AS weight_nano
+  FROM {apportioned(
+    "(SELECT custkey, suppkey, sum(qty) AS qty FROM sales GROUP BY custkey, suppkey)",
+    "custkey", "suppkey", "qty", 9)}),
 bridge AS (
   SELECT t.custkey AS group_key, h.hcp_key, r.rep_key,
          {product_key(f"'{ad.SPLIT_BRAND}'", _SPLIT)} AS product_key,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dimstar.functions import calendar as cal
 from dimstar.operators import facts, scd
 from dimstar.operators.corrections import apply_corrections
-from dimstar.registry.base import Query, rounded, rounded_units
+from dimstar.registry.base import Query, apportioned, rounded, rounded_units
 from dimstar.sources import adapter as ad
 from dimstar.sources.adapter import SalesStar
 
@@ -45,8 +45,11 @@ def territory_share(s: SalesStar) -> DataFrame:
     return facts.market_share(rows, ["month_key", "territory_key"], ["product_key"], "brand_units")
 
 
+SHARED_REPS = "(SELECT custkey, suppkey, sum(qty) AS qty FROM sales GROUP BY ALL)"
+
+
 def weights(s: SalesStar) -> DataFrame:
-    """Shares of all reps of each HCP, as weights of three digits."""
+    """Shares of all reps of each HCP, as weights of three digits by largest remainder."""
     totals = s["sales"].groupBy("custkey", "suppkey").agg(F.sum("qty").alias("qty"))
     return facts.bridge_weights(totals, ["custkey"], "suppkey", "qty")
 
@@ -172,13 +175,8 @@ QUERIES = [
         "f_bridge_weights",
         "custkey:i suppkey:i qty:i alignment_rank:i credit_split_weight:d",
         weights,
-        f"WITH members AS (SELECT *, row_number() OVER w AS r FROM (SELECT custkey, suppkey, "
-        f"sum(qty) AS qty FROM sales GROUP BY ALL) WINDOW w AS (PARTITION BY custkey ORDER BY qty "
-        f"DESC, suppkey)), shares AS (SELECT *, "
-        f"{rounded_units('qty', 'sum(qty) OVER (PARTITION BY custkey)', 3)} AS milli FROM members) "
-        f"SELECT *, r AS alignment_rank, (milli + CASE WHEN r = 1 THEN 1000 - "
-        f"sum(milli) OVER (PARTITION BY custkey) ELSE 0 END) / 1000.0 AS credit_split_weight "
-        f"FROM shares",
+        "SELECT custkey, suppkey, qty, alignment_rank, units / 1000.0 AS credit_split_weight "
+        f"FROM {apportioned(SHARED_REPS, 'custkey', 'suppkey', 'qty', 3)}",
     ),
     Query(
         "f_loaded_batches",

@@ -167,3 +167,48 @@ def test_quality_counts(spark):
     ratio = ratio.withColumn("p", F.col("p").cast("decimal(5,2)"))
     found = quality.stored_ratio_mismatch(ratio, "p", F.col("a"), F.col("b"))
     assert rows(found, "b", "recomputed") == [(3, Decimal("33.33"))]
+
+
+def _largest_remainder(measures, units):
+    """Brute force: one unit each, the rest by whole quotas and largest remainders."""
+    xs = [max(m or 0, 0) for m in measures]
+    if sum(xs) == 0:
+        xs = [1] * len(xs)
+    rest, total = max(units - len(xs), 0), sum(xs)
+    floors = [rest * x // total for x in xs]
+    order = sorted(range(len(xs)), key=lambda i: (-(rest * xs[i] % total), i))
+    got = [0] * len(xs)
+    for pos, i in enumerate(order, 1):
+        got[i] = int(len(xs) <= units or pos <= units) + floors[i] + int(pos <= rest - sum(floors))
+    return got
+
+
+def test_bridge_weights_largest_remainder_for_any_group_size(spark):
+    import random
+
+    rng = random.Random(7)
+    sizes = [1, 2, 3, 17, 999, 1000, 1500, 5000]
+    data = []
+    for g, n in enumerate(sizes):
+        # one member holds most units, the others one each: the old rank-1 rest went negative
+        data += [(g, m, 10**6 if m == 0 else rng.choice([1, 1, 2, 7, None, -3])) for m in range(n)]
+    df = spark.createDataFrame(data, "g int, r int, q long")
+    out = facts.bridge_weights(df, ["g"], "r", "q", 9)
+    got = {(x.g, x.r): x.credit_split_weight for x in out.collect()}
+    for g, n in enumerate(sizes):
+        want = _largest_remainder([q for gg, _, q in data if gg == g], 10**9)
+        assert [got[(g, m)] * 10**9 for m in range(n)] == want
+    assert quality.weight_sums(out, ["g"]).count() == 0 and quality.weight_range(out).count() == 0
+    assert out.filter("credit_split_weight <= 0").count() == 0
+
+
+def test_bridge_weights_edge_groups(spark):
+    df = spark.createDataFrame(
+        [("z", 1, 0), ("z", 2, None), ("z", 3, 0)] + [("big", i, 1) for i in range(12)],
+        "g string, r int, q int",
+    )
+    out = facts.bridge_weights(df, ["g"], "r", "q", 1)
+    w = {(x.g, x.r): x.credit_split_weight for x in out.collect()}
+    # all-zero group shares alike; more members than units: the first ten by member get one
+    assert [w[("z", r)] for r in (1, 2, 3)] == [Decimal("0.4"), Decimal("0.3"), Decimal("0.3")]
+    assert [w[("big", i)] for i in range(12)] == [Decimal("0.1")] * 10 + [Decimal("0.0")] * 2
