@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dimstar.llm import (
     byte_bpe,
     exact_dedup,
+    html_extract,
     language_crf,
     line_dedup,
     masked_lm,
@@ -100,6 +101,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(_table(spark, folder, "documents"), "lang")
 
 
+def op12_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extracted(_table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_ngram_join,
         op10_lm_score,
         op11_merkle_manifest,
+        op12_html_extract,
     )
 }
 
