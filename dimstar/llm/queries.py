@@ -18,6 +18,7 @@ from dimstar.llm import (
     mixing,
     ngram_join,
     ready,
+    spelling,
     suffix_dedup,
     url_filter,
     vector_graph,
@@ -105,6 +106,10 @@ def op12_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extracted(_table(spark, folder, "pages"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_lm_score,
         op11_merkle_manifest,
         op12_html_extract,
+        op13_spelling_variants,
     )
 }
 
