@@ -19,9 +19,153 @@ def table_path(root: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the star schema with its stated types; nothing is inferred."""
+    """A table of the star schema with its stated types; nothing is inferred.
+
+    A table loaded through ``append_batch`` or ``rebuild`` is read through its manifest:
+    only the latest published version of each unit (batch or folder) is read, so files
+    of a load that has not been published yet, or that failed, are never seen.
+    """
     schema = schema_of(name)
-    return spark.read.schema(schema).parquet(table_path(root, name)).select(*schema.names)
+    paths = published_paths(spark, root, name)
+    if paths is None:
+        return spark.read.schema(schema).parquet(table_path(root, name)).select(*schema.names)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return (
+        spark.read.schema(schema)
+        .option("basePath", table_path(root, name))
+        .parquet(*paths)
+        .select(*schema.names)
+    )
+
+
+# -- published versions -------------------------------------------------------------------
+# A load writes its files under <table>/<unit column>=<unit>/_version=<v>/ (or
+# <table>/_version=<v>/ for a table that is one unit), then appends one file to the
+# table's manifest: (unit_col, unit, version, dropped) for every unit it replaced.
+# Readers take the latest version of every unit that is not dropped. ``vacuum`` removes
+# what no reader can reach any more. One writer per table at a time.
+MANIFEST = "_manifest"
+VERSION = "_version"
+MANIFEST_SCHEMA = "unit_col string, unit string, version long, dropped boolean"
+
+
+def manifest_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{MANIFEST}/{name}"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def manifest(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """Every publication of the table, or None for a table without a manifest."""
+    path = manifest_path(root, name)
+    if not _exists(spark, path):
+        return None
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+
+
+def _current(spark: SparkSession, root: str, name: str) -> list | None:
+    """(unit_col, unit, version) of the latest publication of every unit still present.
+
+    One row per unit reaches the driver: units are batches or folders, not rows.
+    """
+    log = manifest(spark, root, name)
+    if log is None:
+        return None
+    latest = log.groupBy("unit_col", "unit").agg(
+        F.max_by(F.struct("version", "dropped"), "version").alias("last")
+    )
+    return [
+        (r["unit_col"], r["unit"], r["last"]["version"])
+        for r in latest.where(~F.col("last.dropped")).collect()
+    ]
+
+
+def _unit_path(table: str, unit_col: str, unit: str, version: int) -> str:
+    inner = f"{unit_col}={unit}/" if unit_col else ""
+    return f"{table}/{inner}{VERSION}={version}"
+
+
+def published_paths(spark: SparkSession, root: str, name: str) -> list[str] | None:
+    units = _current(spark, root, name)
+    if units is None:
+        return None
+    table = table_path(root, name)
+    return [_unit_path(table, c, u, v) for c, u, v in units]
+
+
+def _next_version(spark: SparkSession, root: str, name: str) -> int:
+    log = manifest(spark, root, name)
+    last = None if log is None else log.agg(F.max("version")).first()[0]
+    table = table_path(root, name)
+    # versions written but never published count as taken as well
+    on_disk = [
+        int(v.split("=", 1)[1])
+        for d in [table, *[f"{table}/{c}" for c in _children(spark, table)]]
+        for v in _children(spark, d)
+        if v.startswith(f"{VERSION}=")
+    ]
+    return max([last or 0, *on_disk]) + 1
+
+
+def _write_version(df: DataFrame, table: str, unit_col: str, folders: Sequence[str], version: int):
+    cols = [*([unit_col] if unit_col else []), VERSION, *folders]
+    (
+        _spread_for(df.withColumn(VERSION, F.lit(version)), [*([unit_col] if unit_col else []), *folders])
+        .write.mode("append")
+        .partitionBy(*cols)
+        .parquet(table)
+    )
+
+
+def _publish(spark: SparkSession, root: str, name: str, rows: list[tuple]) -> None:
+    """Appends one manifest file; the load becomes visible when it stands."""
+    if rows:
+        spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
+            manifest_path(root, name)
+        )
+
+
+def vacuum(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Deletes the folders of versions that no reader reaches; returns them.
+
+    Run it when no load of the table is running: a load's files stand before it is
+    published, and an unpublished version looks like a failed one.
+    """
+    current = _current(spark, root, name)
+    if current is None:
+        return []
+    keep = {(c, u): v for c, u, v in current}
+    table = table_path(root, name)
+    gone = []
+    unit_dirs = [("", "", table)] + [
+        (d.split("=", 1)[0], d.split("=", 1)[1], f"{table}/{d}")
+        for d in _children(spark, table)
+        if "=" in d and not d.startswith(f"{VERSION}=")
+    ]
+    for col, unit, path in unit_dirs:
+        for v in _children(spark, path):
+            if v.startswith(f"{VERSION}=") and keep.get((col, unit)) != int(v.split("=", 1)[1]):
+                fs, p = _fs(spark, f"{path}/{v}")
+                fs.delete(p, True)
+                gone.append(f"{path}/{v}")
+    return gone
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -43,32 +187,19 @@ def _spread_for(df: DataFrame, folders: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *folders) if folders else df
 
 
-def _replace_folders(df: DataFrame, path: str, folders: Sequence[str]) -> None:
-    (
-        _spread_for(df, folders)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*folders)
-        .parquet(path)
-    )
-
-
 def append_batch(df: DataFrame, root: str, name: str, batch: int) -> None:
-    """Adds the rows of one load batch, stamped with its key.
+    """Adds the rows of one load batch, stamped with its key, as a new published version.
 
-    The batch key is the first folder level and a load replaces the batch's folder as a
-    whole. A batch that is loaded again replaces itself, also where it now lacks periods it
-    had before; other batches stay untouched.
+    The batch is the unit: a batch that is loaded again replaces itself as a whole, also
+    where it now lacks periods it had before; other batches stay untouched. Its files
+    are written first and published last, so readers see the old batch until then.
     """
+    spark = df.sparkSession
     folders = PARTITIONS.get(name, [])
     stamped = conform(df.withColumn("audit_key", F.lit(batch).cast("bigint")), name)
-    (
-        _spread_for(stamped.drop("audit_key"), folders)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*folders)
-        .parquet(f"{table_path(root, name)}/audit_key={batch}")
-    )
+    version = _next_version(spark, root, name)
+    _write_version(stamped, table_path(root, name), "audit_key", folders, version)
+    _publish(spark, root, name, [("audit_key", str(batch), version, False)])
 
 
 def rebuild(
@@ -78,24 +209,36 @@ def rebuild(
     partitions: Sequence[str] | None = None,
     whole: bool = False,
 ) -> None:
-    """Writes a derived table again; with folder columns only the folders that occur in ``df``.
+    """Writes a derived table again as a new published version.
 
-    With ``whole`` folders that no longer occur go as well.
+    With folder columns the first one is the unit: only the units that occur in ``df``
+    are replaced, and with ``whole`` the units that no longer occur are dropped. Without
+    folder columns the table is one unit.
     """
+    spark = df.sparkSession
     folders = PARTITIONS.get(name, []) if partitions is None else list(partitions)
-    path, rows = table_path(root, name), conform(df, name)
-    if folders and whole:
-        (
-            _spread_for(rows, folders)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*folders)
-            .parquet(path)
-        )
-    elif folders:
-        _replace_folders(rows, path, folders)
-    else:
-        rows.write.mode("overwrite").parquet(path)
+    table, rows = table_path(root, name), conform(df, name)
+    version = _next_version(spark, root, name)
+    unit_col, inner = (folders[0], folders[1:]) if folders else ("", [])
+    _write_version(rows, table, unit_col, inner, version)
+    if not unit_col:
+        # no rows write no folder: the table is then published as empty
+        empty = not _exists(spark, _unit_path(table, "", "", version))
+        _publish(spark, root, name, [("", "", version, empty)])
+        return
+    written = [
+        d.split("=", 1)[1]
+        for d in _children(spark, table)
+        if d.startswith(f"{unit_col}=") and _exists(spark, f"{table}/{d}/{VERSION}={version}")
+    ]
+    entries = [(unit_col, u, version, False) for u in written]
+    if whole:
+        entries += [
+            (c, u, version, True)
+            for c, u, _ in (_current(spark, root, name) or [])
+            if c == unit_col and u not in written
+        ]
+    _publish(spark, root, name, entries)
 
 
 def read_batch(

@@ -177,3 +177,45 @@ def test_star_invariants(spark):
         assert star[name].agg(F.sum(col)).first()[0] == lines
     assert star["fct_prescription_weekly"].filter("hcp_key is null").count() == 0
     assert star["fct_hcp_visit"].filter("rep_key is null or hcp_key is null").count() == 0
+
+
+def test_a_load_that_fails_before_it_is_published_leaves_the_old_batch(spark, tmp_path, monkeypatch):
+    root, name, week = str(tmp_path), "fct_prescription_weekly", D(2024, 3, 3)
+    io.append_batch(weekly(spark, week, 1), root, name, 5)
+
+    def stop(*args):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(io, "_publish", stop)
+        with pytest.raises(RuntimeError):
+            io.append_batch(weekly(spark, week, 9), root, name, 5)  # files written, not published
+    df = io.read_table(spark, root, name)
+    assert rows(df.groupBy("audit_key").agg(F.sum("total_units").alias("u")), "audit_key", "u") == [(5, 4)]
+    # the next load of the batch takes a new version; the failed one is never read
+    io.append_batch(weekly(spark, week, 2), root, name, 5)
+    assert io.read_table(spark, root, name).agg(F.sum("total_units")).first()[0] == 8
+
+
+def test_reloads_leave_one_version_and_vacuum_removes_the_rest(spark, tmp_path):
+    root, name, week = str(tmp_path), "fct_prescription_weekly", D(2024, 3, 3)
+    for units in (1, 2, 3):
+        io.append_batch(weekly(spark, week, units), root, name, 5)
+    io.append_batch(weekly(spark, week, 1), root, name, 6)
+    df = io.read_table(spark, root, name)
+    assert rows(df.groupBy("audit_key").agg(F.sum("total_units").alias("u")), "audit_key", "u") == [(5, 12), (6, 4)]
+    before = sorted(p.name for p in (tmp_path / name / "audit_key=5").iterdir())
+    assert before == ["_version=1", "_version=2", "_version=3"]
+    gone = io.vacuum(spark, root, name)
+    assert len(gone) == 2
+    assert sorted(p.name for p in (tmp_path / name / "audit_key=5").iterdir()) == ["_version=3"]
+    assert io.read_table(spark, root, name).count() == 8
+    plan = io.read_table(spark, root, name).filter("audit_key = 6")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(audit_key" in plan
+
+
+def test_a_table_rebuilt_empty_reads_empty(spark, tmp_path):
+    root, name = str(tmp_path), "dim_audit"
+    audit = spark.createDataFrame([], schema.schema_of(name))
+    io.rebuild(audit, root, name, partitions=[])
+    assert io.read_table(spark, root, name).count() == 0
