@@ -47,6 +47,58 @@ def monthly_rollup(weekly: DataFrame, rebuilt_at: datetime.datetime | None = Non
     ).withColumn("last_rebuilt_at", stamp.cast("timestamp_ntz"))
 
 
+ROLLUP_KEYS = ["month_key", "territory_rollup_key", "product_key"]
+
+
+def rollup_delta(removed: DataFrame, added: DataFrame, measures: Sequence[str] = ADDITIVE) -> DataFrame:
+    """Signed monthly sums of weekly rows: added rows count +1, removed rows -1.
+
+    ``source_row_count`` is the signed number of rows. Keys whose deltas are all 0 stay:
+    they name a month that was touched. Both sides are combined before their shuffle.
+    """
+    cols = ["week_end_date_key", "territory_key", "product_key", *measures]
+    signed = added.select(*cols, F.lit(1).alias("_sign")).unionByName(
+        removed.select(*cols, F.lit(-1).alias("_sign"))
+    )
+    return signed.groupBy(
+        cal.month_start(F.col("week_end_date_key")).alias("month_key"),
+        F.col("territory_key").alias("territory_rollup_key"),
+        "product_key",
+    ).agg(
+        *[F.sum(F.col(c).cast("bigint") * F.col("_sign")).alias(c) for c in measures],
+        F.sum("_sign").cast("bigint").alias("source_row_count"),
+    )
+
+
+def merge_rollup(
+    stored: DataFrame,
+    delta: DataFrame,
+    measures: Sequence[str] = ADDITIVE,
+    rebuilt_at: datetime.datetime | None = None,
+) -> DataFrame:
+    """The stored rollup rows of the touched months with their deltas added.
+
+    ``stored`` should hold only the months that ``delta`` touches. A key whose row count
+    falls to 0 goes; the share is computed again from the summed components.
+    """
+    old = stored.select(*ROLLUP_KEYS, *[F.col(m).alias("_o_" + m) for m in [*measures, "source_row_count"]])
+    merged = old.join(delta, ROLLUP_KEYS, "full_outer").select(
+        *ROLLUP_KEYS,
+        *[
+            (F.coalesce(F.col("_o_" + m), F.lit(0)) + F.coalesce(F.col(m), F.lit(0))).alias(m)
+            for m in [*measures, "source_row_count"]
+        ],
+    )
+    kept = merged.where(F.col("source_row_count") > 0)
+    if "brand_units" in measures and "total_market_units" in measures:
+        kept = kept.withColumn(
+            "market_share_pct",
+            percent(F.col("brand_units"), F.col("total_market_units"), 2).cast(SHARE),
+        )
+    stamp = F.lit(rebuilt_at) if rebuilt_at else F.current_timestamp()
+    return kept.withColumn("last_rebuilt_at", stamp.cast("timestamp_ntz"))
+
+
 def quota_attainment(actuals: DataFrame, quotas: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Quota, actual and prior-year actual on one row per keys and quarter.
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimstar.operators.dims import surrogate_key
-from dimstar.session import shared_folder
+from dimstar.operators import facts
+from dimstar.operators.dims import hash_key, surrogate_key
+from dimstar.session import settled, shared_folder
 from dimstar.sources import io
 from dimstar.sources.adapter import SalesStar
 from dimstar.sources.schema import GRAINS
@@ -113,3 +114,33 @@ def export_star(star: SalesStar, root: str) -> list[str]:
         io.rebuild(df, root, name, partitions=[])
         stored.append(name)
     return stored
+
+
+MONTHLY = "fct_prescription_territory_monthly"
+
+
+def refresh_rollup(
+    spark: SparkSession,
+    root: str,
+    removed: DataFrame,
+    added: DataFrame,
+    measures: list[str] | None = None,
+) -> list:
+    """Brings the stored monthly rollup up to date with one batch, touching only its months.
+
+    ``added`` are the weekly rows the batch brings, ``removed`` those it replaces (the
+    batch's earlier load, or the rows a correction restates), each dated by the period
+    it counts for. The signed sums are merged into the stored rows of the touched months
+    alone, which a literal month filter prunes to their folders, and only those months
+    are published again. Returns the touched months (one per month: metadata, not rows).
+    """
+    measures = measures or facts.ADDITIVE
+    delta = settled(facts.rollup_delta(removed, added, measures))
+    months = sorted(r["month_key"] for r in delta.select("month_key").distinct().collect())
+    if not months:
+        return []
+    stored = io.read_table(spark, root, MONTHLY).where(F.col("month_key").isin(months))
+    merged = facts.merge_rollup(stored, delta, measures)
+    keyed = merged.withColumn("territory_monthly_key", hash_key(GRAINS[MONTHLY]))
+    io.rebuild(keyed, root, MONTHLY, replace=[m.isoformat() for m in months])
+    return months

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimstar.operators import facts
 from dimstar.operators.dims import hash_key
+from dimstar.plans import load
 from dimstar.registry.base import Query
 from dimstar.session import shared_folder
 from dimstar.sources import adapter as ad
@@ -52,6 +54,32 @@ def rebuilt(s: SalesStar) -> DataFrame:
     return io.read_table(s.spark, root, MONTHLY)
 
 
+def incremental(s: SalesStar) -> DataFrame:
+    """The rollup of the ordinary batches, then the bad batch and its correction merged in.
+
+    The correction counts for the period it restates and replaces the rows of earlier
+    batches at that period and grain; only the touched month is read and written again.
+    """
+    root = new_root(s)
+    grain = ["week_end_date_key", "hcp_key", "product_key", "territory_key"]
+    loaded = s["rx_with_batches"].withColumns(
+        {"brand_units": F.col("total_units"), "total_market_units": F.col("total_units")}
+    )
+    audit = s["dim_audit"].select("audit_key", "corrects_period")
+    dated = loaded.join(audit, "audit_key", "left").withColumn(
+        "week_end_date_key", F.coalesce("corrects_period", "week_end_date_key")
+    )
+    special = F.col("audit_key").isin(ad.BAD_BATCH, ad.FIX_BATCH)
+    ordinary, bad = dated.where(~special), dated.where(F.col("audit_key") == ad.BAD_BATCH)
+    fix = dated.where(F.col("audit_key") == ad.FIX_BATCH)
+    base = facts.monthly_rollup(ordinary).withColumn("territory_monthly_key", hash_key(GRAINS[MONTHLY]))
+    io.rebuild(base, root, MONTHLY)
+    load.refresh_rollup(s.spark, root, bad.where(F.lit(False)), bad)
+    restated = dated.where(F.col("audit_key") != ad.FIX_BATCH).join(fix, grain, "left_semi")
+    load.refresh_rollup(s.spark, root, restated, fix)
+    return io.read_table(s.spark, root, MONTHLY)
+
+
 def clustered(s: SalesStar) -> DataFrame:
     path = new_root(s)
     io.write_fact(s[RX], path, ["hcp_key", "week_end_date_key"])
@@ -94,6 +122,13 @@ QUERIES = [
         rebuilt,
         "SELECT *, territory_key AS territory_rollup_key FROM fct_monthly",
     ),
+    Query(
+        "io_incremental_rollup",
+        "month_key:t territory_rollup_key:i product_key:i new_rx_count:i total_rx_count:i "
+        "total_units:i source_row_count:i",
+        incremental,
+        "SELECT *, territory_key AS territory_rollup_key FROM fct_monthly",
+    ),
     Query(
         "io_write_fact",
         "hcp_key:i product_key:i week_end_date_key:t territory_key:i total_units:i",

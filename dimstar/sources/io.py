@@ -208,12 +208,14 @@ def rebuild(
     name: str,
     partitions: Sequence[str] | None = None,
     whole: bool = False,
+    replace: Sequence[str] = (),
 ) -> None:
     """Writes a derived table again as a new published version.
 
     With folder columns the first one is the unit: only the units that occur in ``df``
-    are replaced, and with ``whole`` the units that no longer occur are dropped. Without
-    folder columns the table is one unit.
+    are replaced, and with ``whole`` the units that no longer occur are dropped; so are
+    the units named in ``replace`` (folder values as text) that ``df`` no longer has.
+    Without folder columns the table is one unit.
     """
     spark = df.sparkSession
     folders = PARTITIONS.get(name, []) if partitions is None else list(partitions)
@@ -238,6 +240,8 @@ def rebuild(
             for c, u, _ in (_current(spark, root, name) or [])
             if c == unit_col and u not in written
         ]
+    else:
+        entries += [(unit_col, u, version, True) for u in replace if u not in written]
     _publish(spark, root, name, entries)
 
 
