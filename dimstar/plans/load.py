@@ -13,7 +13,7 @@ from dimstar.operators.dims import hash_key, surrogate_key
 from dimstar.session import settled, shared_folder
 from dimstar.sources import io
 from dimstar.sources.adapter import SalesStar
-from dimstar.sources.schema import GRAINS
+from dimstar.sources.schema import GRAINS, PARTITIONS
 
 # How written tables are clustered: the column reports filter by equality comes first.
 # Tables that are not listed are either small or read once, and are derived where used.
@@ -55,6 +55,10 @@ def fingerprint(spark: SparkSession, folder: str) -> str:
 class Warehouse(SalesStar):
     """A star whose tables are written to the shared folder when they are first read.
 
+    Facts with a date folder column (``PARTITIONS``) are stored in one folder per date,
+    clustered inside by their layout: a literal date range prunes folders, and a join
+    to a filtered date dimension prunes them at run time (dynamic partition pruning).
+
     What is written is kept for the running application and for the state of the input
     files, so reports on the same data share one load.
     """
@@ -72,13 +76,16 @@ class Warehouse(SalesStar):
         if name not in self._tables:
             df = super().__getitem__(name)
             path = f"{shared_folder(self.spark)}/star/{uuid.uuid4()}/{name}"
-            if name in FACTS:
+            if name in PARTITIONS:
+                io.write_dated_fact(df, path, PARTITIONS[name], LAYOUT[name])
+            elif name in FACTS:
                 io.write_fact(df, path, LAYOUT[name])
             else:
                 df.write.parquet(path)
             self._tables[name] = (path, df.schema)
         path, schema = self._tables[name]
-        return self.spark.read.schema(schema).parquet(path)
+        # folder columns come last in a scan; the stated order is restored
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def load_star(spark: SparkSession, folder: str) -> Warehouse:

@@ -322,6 +322,19 @@ def write_fact(
     )
 
 
+def write_dated_fact(
+    df: DataFrame, path: str, folders: Sequence[str], cluster: Sequence[str]
+) -> None:
+    """One folder per date, rows sorted inside by ``cluster``; a hot date is split by AQE."""
+    (
+        _spread_for(df, folders)
+        .sortWithinPartitions(*folders, *cluster)
+        .write.mode("overwrite")
+        .partitionBy(*folders)
+        .parquet(path)
+    )
+
+
 def write_bucketed(
     df: DataFrame, table: str, path: str, cols: Sequence[str], buckets: int
 ) -> None:

@@ -1,6 +1,7 @@
 """Physical plans: what must and must not be in them."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,9 +34,10 @@ def test_scan_reads_only_its_columns(spark):
 def test_lookback_filter_reaches_the_scan(spark):
     display = (dt.date(2001, 8, 1), dt.date(2001, 10, 31))
     text = plan(r.rolling_trend(Warehouse(spark, FOLDER), display, None))
-    assert "GreaterThanOrEqual(week_end_date_key,2001-05-02)" in text
+    # the weekly fact is stored by week: the look-back prunes its folders
+    assert re.search(r"PartitionFilters: \[isnotnull\(week_end_date_key#\d+\), \(week_end_date_key#\d+ >= 2001-05-02\)", text)
     assert text.count("Window ") == 1  # mean and lag share one pass
-    window, scan = text.index("Window "), text.index("GreaterThanOrEqual(week_end_date_key")
+    window, scan = text.index("Window "), text.index("PartitionFilters: [isnotnull(week_end_date_key")
     assert "week_end_date_key" in text[:window] and window < scan
 
 
@@ -62,3 +64,14 @@ def test_partial_aggregation_before_the_shuffle(spark):
 def test_anti_join_is_an_equi_join(spark):
     a = spark.range(10).select(F.col("id").alias("k"))
     assert "LeftAnti" in plan(joins.gaps(a, a.filter("k > 3"), ["k"]))
+
+
+def test_quarter_of_visits_prunes_date_folders(spark):
+    # R1 and R12 meet the visits through a filtered date dimension: pruned at run time;
+    # their quota and coverage facts by a literal quarter
+    for df in (r.below_quota_coverage(Warehouse(spark, FOLDER)), r.drill_across_top_decile(Warehouse(spark, FOLDER))):
+        text = plan(df)
+        assert "dynamicpruningexpression(date_key" in text
+        assert re.search(r"PartitionFilters: \[isnotnull\(fiscal_quarter_key#\d+\), \(fiscal_quarter_key#\d+ = 2023-08-01\)\]", text)
+
+
