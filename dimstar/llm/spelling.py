@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from dimstar.session import settled
 
 RUN = r"[A-Za-z\x{00C0}-\x{00FF}]+"
+GAP = r"[^A-Za-z\x{00C0}-\x{00FF}]+"  # what lies between runs: splitting on it gives them
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MIN_CHARS = 5
 MIN_COUNT = 3
@@ -52,9 +53,12 @@ SHORT = Q_MAX + Q_MIN - 1  # the longest word whose count bound can be 0
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """One row per run: the lower-cased run, with one code point deleted where 97 divides h."""
-    runs = docs.select(
-        "doc_id", F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(RUN), 0)).alias("run")
-    ).withColumn("run", F.translate("run", UPPER, UPPER.lower()))
+    parts = F.split(F.coalesce("text", F.lit("")), GAP)
+    runs = (
+        docs.select("doc_id", F.explode(parts).alias("run"))
+        .where(F.col("run") != "")
+        .withColumn("run", F.translate("run", UPPER, UPPER.lower()))
+    )
     h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")))
     cut = F.expr("concat(substring(run, 1, _at), substring(run, _at + 2))")
     return (
@@ -131,17 +135,22 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """All pairs (a, b) of vocabulary words one edit apart, both directions."""
     chosen, _ = decompose(words.select("word"))
     sized = settled(bounds(chosen))
-    # probes: the NAG + 1 rarest gram occurrences of every word with a positive bound
+    # probes: the NAG + 1 rarest gram occurrences of every word with a positive bound.
+    # A kept gram of s sits in t at its place or one off, and lengths differ by one at
+    # most, so a probe meets only postings of its gram at (place +-1, length +-1).
     rarest = Window.partitionBy("word").orderBy("freq", "gram", "i")  # one word's grams
+    shift = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
     probes = (
         chosen.join(sized.where(F.col("size") > F.col("nag")), "word")
         .withColumn("_r", F.row_number().over(rarest))
         .where(F.col("_r") <= F.col("nag") + 1)
-        .select(F.col("word").alias("a"), "gram")
-        .distinct()
+        .select(F.col("word").alias("a"), "gram", "i", F.char_length("word").alias("len"))
+        .withColumn("_di", shift)
+        .withColumn("_dl", shift)
+        .select("a", "gram", (F.col("i") + F.col("_di")).alias("i"), (F.col("len") + F.col("_dl")).alias("len"))
     )
-    postings = chosen.select(F.col("word").alias("b"), "gram").distinct()
-    by_grams = _verified(probes.join(postings, "gram").select("a", "b"))
+    postings = chosen.select(F.col("word").alias("b"), "gram", "i", F.char_length("word").alias("len"))
+    by_grams = _verified(probes.join(postings, ["gram", "i", "len"]).select("a", "b").distinct())
     # the rest: deletion neighbourhoods, exact for one edit
     # a word without a positive bound has |G| <= Q_MAX, so at most SHORT code points;
     # only words one longer than that can be its partners
