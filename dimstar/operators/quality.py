@@ -119,3 +119,74 @@ def stored_ratio_mismatch(
     """Rows whose stored percentage differs from the one its components give."""
     again = df.withColumn("recomputed", percent(num, den, digits))
     return again.filter(~F.col(stored).eqNullSafe(F.col("recomputed")))
+
+
+def compiled_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every declared rule of the stated schema, one row each: table_name, rule,
+    column_name, violations.
+
+    Rules: ``grain`` (rows beyond the first of each grain), ``not_null`` (required
+    columns), ``foreign_key`` (non-NULL keys missing in the dimension; ``column_name``
+    reads ``col->dim.key``), ``text_limit`` (more code points than the limit),
+    ``fixed_width`` (a length other than the width; NULL not counted) and ``domain`` (a
+    value outside the list; NULL not counted). Tables that are not given are skipped,
+    and so are keys into them.
+
+    Each table is compiled into one pass: a single scan, a left join to the distinct
+    keys of each dimension it refers to, one grouping by its grain that carries the row
+    count and a sum per rule (combined before its shuffle, so a hot grain costs nothing
+    extra), and one global aggregate whose columns become rows.
+    """
+    from dimstar.sources.schema import (
+        DOMAINS, FIXED_WIDTHS, FOREIGN_KEYS, GRAINS, TEXT_LIMITS, required,
+    )
+
+    parts = []
+    for name, df in tables.items():
+        flags: dict[tuple[str, str], Column] = {}
+        for col in required(name):
+            flags[("not_null", col)] = F.col(col).isNull()
+        for col, n in TEXT_LIMITS.get(name, {}).items():
+            flags[("text_limit", col)] = F.char_length(col) > n
+        for col, n in FIXED_WIDTHS.get(name, {}).items():
+            flags[("fixed_width", col)] = F.char_length(col) != n
+        for (table, col), values in DOMAINS.items():
+            if table == name:
+                flags[("domain", col)] = ~F.col(col).isin(values)
+        rows = df
+        for i, (col, dim, key) in enumerate(FOREIGN_KEYS.get(name, [])):
+            if dim not in tables:
+                continue
+            found = tables[dim].select(F.col(key).alias(f"_fk{i}")).distinct()
+            rows = rows.join(found, F.col(col) == F.col(f"_fk{i}"), "left")
+            flags[("foreign_key", f"{col}->{dim}.{key}")] = (
+                F.col(col).isNotNull() & F.col(f"_fk{i}").isNull()
+            )
+        rules = list(flags)
+        grain = GRAINS[name]
+        per_grain = rows.groupBy(*grain).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[
+                F.sum(F.coalesce(flags[r], F.lit(False)).cast("long")).alias(f"_r{j}")
+                for j, r in enumerate(rules)
+            ],
+        )
+        total = per_grain.agg(
+            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_grain"),
+            *[F.coalesce(F.sum(f"_r{j}"), F.lit(0)).alias(f"_r{j}") for j in range(len(rules))],
+        )
+        entries = [
+            F.struct(
+                F.lit(name).alias("table_name"), F.lit("grain").alias("rule"),
+                F.lit(",".join(grain)).alias("column_name"),
+                F.col("_grain").cast("long").alias("violations"),
+            )
+        ] + [
+            F.struct(
+                F.lit(name).alias("table_name"), F.lit(rule).alias("rule"),
+                F.lit(col).alias("column_name"), F.col(f"_r{j}").cast("long").alias("violations"),
+            )
+            for j, (rule, col) in enumerate(rules)
+        ]
+        parts.append(total.select(F.inline(F.array(*entries))))
+    return reduce(DataFrame.unionByName, parts)
