@@ -53,11 +53,10 @@ SHORT = Q_MAX + Q_MIN - 1  # the longest word whose count bound can be 0
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """One row per run: the lower-cased run, with one code point deleted where 97 divides h."""
-    parts = F.split(F.coalesce("text", F.lit("")), GAP)
-    runs = (
-        docs.select("doc_id", F.explode(parts).alias("run"))
-        .where(F.col("run") != "")
-        .withColumn("run", F.translate("run", UPPER, UPPER.lower()))
+    # lower-cased once per text; splitting on what lies between runs gives the runs
+    lowered = F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower())
+    runs = docs.select("doc_id", F.explode(F.split(lowered, GAP)).alias("run")).where(
+        F.col("run") != ""
     )
     h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")))
     cut = F.expr("concat(substring(run, 1, _at), substring(run, _at + 2))")
@@ -106,7 +105,7 @@ def dictionary(grams: DataFrame) -> DataFrame:
 
 def decompose(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each word's grams (word, i, gram, freq) and the dictionary."""
-    grams = settled(_all_grams(words))
+    grams = _all_grams(words)  # cheap to derive again: read twice, never written
     found = dictionary(grams)
     matched = grams.join(found, ["gram", "q"])
     longest = Window.partitionBy("word", "i").orderBy(F.col("q").desc())  # one word's grams
@@ -149,8 +148,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
         .withColumn("_dl", shift)
         .select("a", "gram", (F.col("i") + F.col("_di")).alias("i"), (F.col("len") + F.col("_dl")).alias("len"))
     )
-    postings = chosen.select(F.col("word").alias("b"), "gram", "i", F.char_length("word").alias("len"))
-    by_grams = _verified(probes.join(postings, ["gram", "i", "len"]).select("a", "b").distinct())
+    # Both ends of a pair between words with a bound find each other: each pair is
+    # verified once (a < b), and duplicates go after the verification, among few rows.
+    bounded = chosen.join(sized.where(F.col("size") > F.col("nag")).select("word"), "word", "left_semi")
+    postings = bounded.select(F.col("word").alias("b"), "gram", "i", F.char_length("word").alias("len"))
+    met = probes.join(postings, ["gram", "i", "len"]).where(F.col("a") < F.col("b"))
+    by_grams = _verified(met.select("a", "b")).distinct()
     # the rest: deletion neighbourhoods, exact for one edit
     # a word without a positive bound has |G| <= Q_MAX, so at most SHORT code points;
     # only words one longer than that can be its partners
