@@ -335,6 +335,61 @@ def write_dated_fact(
     )
 
 
+def write_interleaved(
+    df: DataFrame, path: str, cols: Sequence[str], files: int, bits: int = 8
+) -> DataFrame:
+    """Files clustered on several columns at once; returns their zone table.
+
+    Each column's values are cut into ``2**bits`` ranges at approximate quantiles (one
+    aggregate; the cut points, ``2**bits`` per column, are all that reach the driver).
+    The bits of the range numbers are interleaved into one key, rows are ranged by it
+    over ``files`` files and sorted inside. A filter on any one column then meets a
+    share of the files that shrinks with the filter, not only on the leading column.
+    The zone table (file, and minimum and maximum of every column) is written beside
+    the files as ``<path>_zones``; ``files_meeting`` reads it. NULL falls in range 0.
+    """
+    parts = 2**bits
+    points = [i / parts for i in range(1, parts)]
+    found = df.agg(*[F.percentile_approx(c, points, 10_000).alias(c) for c in cols]).first()
+    ranks = []
+    for c in cols:
+        cuts = sorted({v for v in (found[c] or []) if v is not None})
+        rank = F.lit(0)
+        for cut in cuts:
+            rank = rank + (F.col(c) > F.lit(cut)).cast("int")
+        ranks.append(F.coalesce(rank, F.lit(0)).cast("long"))
+    key = F.lit(0).cast("long")
+    for bit in range(bits):
+        for k, rank in enumerate(ranks):
+            at = bit * len(cols) + k
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), at))
+    (
+        df.withColumn("_z", key)
+        .repartitionByRange(files, "_z")
+        .sortWithinPartitions("_z")
+        .drop("_z")
+        .write.mode("overwrite")
+        .parquet(path)
+    )
+    spark = df.sparkSession
+    zones = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(
+        *[F.min(c).alias(f"min_{c}") for c in cols], *[F.max(c).alias(f"max_{c}") for c in cols]
+    )
+    zones.write.mode("overwrite").parquet(f"{path}_zones")
+    return spark.read.parquet(f"{path}_zones")
+
+
+def files_meeting(zones: DataFrame, **ranges: tuple) -> list[str]:
+    """Files whose zone meets every ``column=(low, high)`` range (bounds included).
+
+    One row per file reaches the driver: the zone table is metadata.
+    """
+    meets = F.lit(True)
+    for c, (low, high) in ranges.items():
+        meets = meets & (F.col(f"max_{c}") >= F.lit(low)) & (F.col(f"min_{c}") <= F.lit(high))
+    return [r["file"] for r in zones.where(meets).select("file").collect()]
+
+
 def write_bucketed(
     df: DataFrame, table: str, path: str, cols: Sequence[str], buckets: int
 ) -> None:

@@ -253,3 +253,30 @@ def test_incremental_rollup_matches_a_full_rebuild(spark, tmp_path):
     plan = (io.read_table(spark, root, monthly).where(F.col("month_key").isin([D(2024, 3, 1)]))
             ._jdf.queryExecution().executedPlan().toString())
     assert "PartitionFilters: [isnotnull(month_key" in plan and "2024-03-01" in plan
+
+
+def test_interleaved_layout_serves_entity_and_date(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    data = [(h, D(2020, 1, 5) + dt.timedelta(weeks=w), rng.randint(1, 9)) for h in range(200) for w in range(104)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "hcp_key long, week date, units int").repartition(8)
+    path = str(tmp_path / "fact")
+    zones = io.write_interleaved(df, path, ["hcp_key", "week"], files=64, bits=6)
+    assert zones.count() == 64
+    one_hcp = io.files_meeting(zones, hcp_key=(7, 7))
+    quarter = (D(2021, 1, 1), D(2021, 3, 31))
+    one_quarter = io.files_meeting(zones, week=quarter)
+    assert len(one_hcp) <= 16 and len(one_quarter) <= 24
+    # the rows are those of the whole table, through the files the zones name
+    got = spark.read.parquet(*one_hcp).where("hcp_key = 7").count()
+    assert got == df.where("hcp_key = 7").count() == 104
+    got = spark.read.parquet(*one_quarter).where(F.col("week").between(*quarter)).count()
+    assert got == df.where(F.col("week").between(*quarter)).count()
+    # clustering by the entity alone serves no date: a quarter meets every file
+    io.write_fact(df, str(tmp_path / "by_hcp"), ["hcp_key", "week"], files=64)
+    by_hcp = spark.read.parquet(str(tmp_path / "by_hcp")).groupBy(F.input_file_name().alias("file")).agg(
+        F.min("week").alias("min_week"), F.max("week").alias("max_week"),
+        F.min("hcp_key").alias("min_hcp_key"), F.max("hcp_key").alias("max_hcp_key"))
+    assert len(io.files_meeting(by_hcp, week=quarter)) == 64
