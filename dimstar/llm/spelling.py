@@ -135,24 +135,22 @@ def near_pairs(words: DataFrame) -> DataFrame:
     chosen, _ = decompose(words.select("word"))
     sized = settled(bounds(chosen))
     # probes: the NAG + 1 rarest gram occurrences of every word with a positive bound.
-    # A kept gram of s sits in t at its place or one off, and lengths differ by one at
-    # most, so a probe meets only postings of its gram at (place +-1, length +-1).
+    # A kept gram of s sits in t at its place or one off (lengths differ by one at most,
+    # checked after the join), so a probe meets only postings of its gram at place +-1.
     rarest = Window.partitionBy("word").orderBy("freq", "gram", "i")  # one word's grams
     shift = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
     probes = (
         chosen.join(sized.where(F.col("size") > F.col("nag")), "word")
         .withColumn("_r", F.row_number().over(rarest))
         .where(F.col("_r") <= F.col("nag") + 1)
-        .select(F.col("word").alias("a"), "gram", "i", F.char_length("word").alias("len"))
-        .withColumn("_di", shift)
-        .withColumn("_dl", shift)
-        .select("a", "gram", (F.col("i") + F.col("_di")).alias("i"), (F.col("len") + F.col("_dl")).alias("len"))
+        .select(F.col("word").alias("a"), "gram", "i", shift.alias("_di"))
+        .select("a", "gram", (F.col("i") + F.col("_di")).alias("i"))
     )
     # Both ends of a pair between words with a bound find each other: each pair is
     # verified once (a < b), and duplicates go after the verification, among few rows.
     bounded = chosen.join(sized.where(F.col("size") > F.col("nag")).select("word"), "word", "left_semi")
-    postings = bounded.select(F.col("word").alias("b"), "gram", "i", F.char_length("word").alias("len"))
-    met = probes.join(postings, ["gram", "i", "len"]).where(F.col("a") < F.col("b"))
+    postings = bounded.select(F.col("word").alias("b"), "gram", "i")
+    met = probes.join(postings, ["gram", "i"]).where(F.col("a") < F.col("b"))
     by_grams = _verified(met.select("a", "b")).distinct()
     # the rest: deletion neighbourhoods, exact for one edit
     # a word without a positive bound has |G| <= Q_MAX, so at most SHORT code points;
