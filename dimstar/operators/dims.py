@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from dimstar.functions import calendar as cal
 from dimstar.functions.labels import asc, label_ladder
-from dimstar.operators.skew import running
+from dimstar.operators.skew import as_one, running
 from dimstar.operators.windows import ntile_in
+from dimstar.sources.io import path_exists
 
 
 def day_range(spark: SparkSession, start: datetime.date, end: datetime.date) -> DataFrame:
@@ -203,6 +204,32 @@ def surrogate_key(
     return numbered.select((F.col("_at") + F.lit(start - 1)).alias(key), *df.columns)
 
 
+def registered_keys(df: DataFrame, registry: str, natural: Sequence[str], key: str) -> DataFrame:
+    """``df`` with a stable dense key for each natural key, kept in a stored registry.
+
+    Natural keys already in the registry keep their number. New ones (an anti join
+    against the registry) are numbered after the largest key, densely and in the order
+    of the natural key, by ``running``, so no task holds them all; they are appended to
+    the registry as one new file set before the keys are attached. A late or repeated
+    load therefore never renumbers an earlier key. NULL parts of a natural key compare
+    equal to NULL. ``registry`` is a folder all executors share.
+    """
+    spark = df.sparkSession
+    nk = as_one(natural).alias("_nk")
+    wanted = df.select(*natural).distinct()
+    known = spark.read.parquet(registry) if path_exists(spark, registry) else None
+    if known is None:
+        new, start = wanted, 1
+    else:
+        new = wanted.withColumn("_nk", as_one(natural)).join(
+            known.select(nk), "_nk", "left_anti"
+        ).drop("_nk")
+        start = (known.agg(F.max(key)).first()[0] or 0) + 1
+    surrogate_key(new, natural, key, start).write.mode("append").parquet(registry)
+    keys = spark.read.parquet(registry).select(nk, key)
+    return df.withColumn("_nk", as_one(natural)).join(keys, "_nk").drop("_nk")
+
+
 def hash_key(cols: Sequence[str]) -> Column:
     """A key without order or shuffle, for loads that need no dense numbers."""
     return F.xxhash64(*cols)

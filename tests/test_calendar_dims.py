@@ -111,3 +111,23 @@ def test_segment_bands(spark):
     df = spark.createDataFrame([(250,), (200,), (199,), (0,)], "v int")
     tier = dims.band_segment(F.col("v"), [("A", 200), ("B", 100)], "C")
     assert sorted(r[0] for r in df.select(tier).collect()) == ["A", "A", "B", "C"]
+
+
+def test_key_registry_keeps_keys_across_loads(spark, tmp_path):
+    from dimstar.operators.dims import registered_keys
+
+    registry = str(tmp_path / "keys")
+    first = spark.createDataFrame([("b", 1), ("d", 2), ("a", 3), ("a", 4), (None, 5)], "code string, v int")
+    one = {(r.code, r.v): r.k for r in registered_keys(first, registry, ["code"], "k").collect()}
+    # NULL sorts as the largest value
+    assert one == {("a", 3): 1, ("a", 4): 1, ("b", 1): 2, ("d", 2): 3, (None, 5): 4}
+    # a later load with new and late natural keys (c sorts between earlier ones)
+    second = spark.createDataFrame([("c", 6), ("a", 7), ("e", 8), (None, 9)], "code string, v int")
+    two = {(r.code, r.v): r.k for r in registered_keys(second, registry, ["code"], "k").collect()}
+    assert two == {("a", 7): 1, (None, 9): 4, ("c", 6): 5, ("e", 8): 6}
+    stored = spark.read.parquet(registry)
+    assert sorted(r.k for r in stored.collect()) == [1, 2, 3, 4, 5, 6]  # dense, no key twice
+    assert stored.groupBy("code").count().where("count > 1").count() == 0
+    # a repeated load changes nothing
+    registered_keys(second, registry, ["code"], "k").count()
+    assert spark.read.parquet(registry).count() == 6
