@@ -267,3 +267,15 @@ def test_compiled_checks_agree_with_single_checks_on_the_star(spark):
         for (t, col), values in DOMAINS.items():
             if t == name:
                 assert got[(name, "domain", col)] == df.where(~F.col(col).isin(values)).count()
+
+
+def test_bridge_weights_same_by_window_and_by_running(spark):
+    data = [(g, m, (m * 7 + n) % 11) for g, n in enumerate([1, 3, 40, 41, 200]) for m in range(n)]
+    data += [(None, 1, 5), (None, 2, 6)]
+    df = spark.createDataFrame(data, "g int, r int, q long")
+    cols = ["g", "r", "q", "alignment_rank", "members", "credit_split_weight"]
+    want = facts.bridge_weights(df, ["g"], "r", "q").select(*cols)
+    for bound in (0, 40):  # all groups, or the larger ones, without a task that holds one
+        got = facts.bridge_weights(df, ["g"], "r", "q", bounded=bound).select(*cols)
+        assert got.dtypes == want.dtypes
+        assert got.count() == len(data) and got.exceptAll(want).count() == 0
