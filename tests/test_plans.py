@@ -75,3 +75,34 @@ def test_quarter_of_visits_prunes_date_folders(spark):
         assert re.search(r"PartitionFilters: \[isnotnull\(fiscal_quarter_key#\d+\), \(fiscal_quarter_key#\d+ = 2023-08-01\)\]", text)
 
 
+def test_builders_join_the_sales_once(spark):
+    star = SalesStar(spark, FOLDER)
+    for name in ("fct_quota_attainment", "bridge_hcp_rep_alignment", "shared_rx"):
+        assert "l_orderkey" not in plan(star[name])  # the written sales, or sums of them
+
+
+def test_weights_of_bounded_groups_take_one_shuffle(spark):
+    df = spark.range(1000).selectExpr("id % 50 AS g", "id AS r", "id % 9 AS q")
+    assert plan(facts.bridge_weights(df, ["g"], "r", "q")).count("Exchange") == 1
+
+
+def test_weekly_sums_go_to_their_hcp_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(SalesStar(spark, FOLDER)["fct_prescription_weekly"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # sums, their HCP, customers, snapshots, versions
+    assert text.count("Exchange") <= 5
+
+
+def test_market_share_sums_the_fact_once(spark):
+    df = spark.range(100).selectExpr("id % 5 AS m", "id % 3 AS b", "id AS u")
+    assert "Range " not in plan(facts.market_share(df, ["m"], ["b"], "u"))
+
+
+def test_credit_is_shuffled_as_sums_only(spark):
+    # the multiplied rows were hashed by the names, and then ranged for their order
+    text = plan(r.co_promotion_credit(Warehouse(spark, FOLDER)))
+    assert "hashpartitioning" not in text and text.count("rangepartitioning") == 1
