@@ -41,7 +41,7 @@ def stamped_sales(s: SalesStar) -> DataFrame:
 
 def territory_share(s: SalesStar) -> DataFrame:
     month = cal.month_start(F.col("week_end_date_key")).alias("month_key")
-    rows = s["weekly_market"].select(month, "territory_key", "product_key", "brand_units")
+    rows = s["weekly_market_once"].select(month, "territory_key", "product_key", "brand_units")
     return facts.market_share(rows, ["month_key", "territory_key"], ["product_key"], "brand_units")
 
 
