@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from dimstar.plans import reports as r
 from dimstar.plans.load import Warehouse
 from dimstar.sources import io
 from dimstar.sources.adapter import SalesStar
@@ -102,3 +103,9 @@ def test_stored_facts_get_their_derived_columns_after_the_shuffle(spark, folder,
         assert rows(stored[name]) == rows(derived[name])
     shuffled = {c for columns in spread for c in columns}
     assert not shuffled & {"visit_id", "program_type", "brand_units", "market_share_pct", "audit_key"}
+
+
+def test_coverage_of_all_quarters_reads_the_facts_once(spark, folder):
+    text = plan(r.below_quota_coverage(Warehouse(spark, folder), quarter=None, segment="D"))
+    assert "date_key" not in text.replace("fiscal_quarter_key", "")
+    assert "FileScan" in text and "hashpartitioning(hcp_key" not in text
