@@ -138,6 +138,21 @@ def _differing(a: Column, b: Column) -> Column:
     return F.aggregate(counts, F.lit(0), lambda s, x: s + x)
 
 
+def _rough(bits: Column) -> Column:
+    """Bitmaps folded to a quarter, though not below LEAST_BITS: from half a place a shingle."""
+    least = F.lit(LEAST_BITS // 64)
+    parts = F.when(F.size(bits) >= least * 4, 4).when(F.size(bits) >= least * 2, 2).otherwise(1)
+    words = (F.size(bits) / parts).cast("int")
+    xor = lambda x, y: x.bitwiseXOR(y)
+    part = lambda k: F.slice(bits, words * k + 1, words)
+    two = F.zip_with(part(0), part(1), xor)
+    return (
+        F.when(parts == 4, F.zip_with(two, F.zip_with(part(2), part(3), xor), xor))
+        .when(parts == 2, two)
+        .otherwise(bits)
+    )
+
+
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = F.col(text_column).cast("string")
     return docs.select(
@@ -336,14 +351,15 @@ def _by_blocks(tiles: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
     """All pairs of classes of different groups in a tile that sizes and bitmaps leave.
 
     A tile is dealt to blocks of about BLOCK classes and each block meets each, so no task
-    holds a tile.
+    holds a tile. Long texts are in many tiles, so their bitmaps go there folded; pairs that
+    pass are held against the whole bitmaps once, when they are verified.
     """
     sizes = settled(tiles.groupBy("key").agg(F.count("*").alias("size")))
     sized = tiles.join(sizes, "key")
     small = _in_small_tiles(sized.where(F.col("size") <= SMALL), classes, like)
     dealt = (
         sized.where(F.col("size") > SMALL)
-        .join(classes.select("cid", "n", "bits"), "cid")
+        .join(classes.select("cid", "n", _rough(F.col("bits")).alias("bits")), "cid")
         .withColumn("blocks", F.ceil(F.col("size") / BLOCK))
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     )
@@ -362,7 +378,8 @@ def _by_blocks(tiles: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def columns(cell: pa.ListScalar) -> tuple[np.ndarray, ...]:
             n, cid, group, bits = cell.values.flatten()
-            maps = [np.asarray(x.values) for x in bits]
+            # unsigned: numpy counts the bits of a negative number's absolute value
+            maps = [np.asarray(x.values).view(np.uint64) for x in bits]
             return n.to_numpy(), cid.to_numpy(), group.to_numpy(), maps
 
         for batch in batches:
