@@ -44,6 +44,7 @@ SKETCH = 1 << 16
 LEAST_BITS = 1024
 ROUNDS = 2
 BLOCK, SMALL = 256, 8
+EARLIER = 32
 _STORE = 400_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -256,11 +257,11 @@ def _sets(texts: DataFrame, wanted: DataFrame, like: Similarity) -> DataFrame:
 
 
 def _intersected(pairs: DataFrame, like: Similarity) -> DataFrame:
-    """Of (a, b, set_a, set_b) the pairs (a, b) that are similar enough."""
+    """Of (a, b, set_a, set_b) the pairs (a, b) that are similar enough, and their similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, near = [], []
             for i in range(len(batch)):
                 a = batch.column("set_a")[i].values.to_numpy().view(np.uint64)
                 b = batch.column("set_b")[i].values.to_numpy().view(np.uint64)
@@ -268,13 +269,16 @@ def _intersected(pairs: DataFrame, like: Similarity) -> DataFrame:
                 both = int((b[at] == a).sum())
                 if both * 100 >= like.percent * (len(a) + len(b) - both):
                     keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+                    near.append(both / (len(a) + len(b) - both))
+            found = batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*found.columns, pa.array(near, pa.float64())], ["a", "b", "near"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(run, "a long, b long, near double")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, like: Similarity) -> DataFrame:
-    """Of candidate pairs (a, b) the links: bounded by sizes and bitmaps, then intersected."""
+    """Of candidate pairs (a, b) the links (a, b, near: their similarity): bounded by sizes and
+    bitmaps, then intersected."""
     of_a = classes.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"), F.col("text_hash").alias("hash_a"))
     of_b = classes.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"), F.col("text_hash").alias("hash_b"))
     differing = _differing(F.col("bits_a"), F.col("bits_b"))
@@ -296,11 +300,11 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, like: Simil
 
 
 def _grouped(tiles: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Tiles that hold several groups: key, cid, group."""
+    """Tiles that hold several groups: key, cid, group, and what else ``tiles`` has."""
     if groups is None:
         return tiles.withColumn("group", F.col("cid"))
-    of = groups.select(F.col("node").alias("cid"), F.col("root").alias("found"))
-    named = tiles.join(of, "cid", "left").select("key", "cid", F.coalesce("found", "cid").alias("group"))
+    of = groups.withColumnsRenamed({"node": "cid", "root": "found"})
+    named = tiles.join(of, "cid", "left").withColumn("group", F.coalesce("found", "cid")).drop("found")
     several = settled(
         named.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi").select("key")
     )
@@ -313,16 +317,28 @@ def _of_three(tiles: DataFrame) -> DataFrame:
     return tiles.join(large, "key", "left_semi")
 
 
+def _with_reach(tiles: DataFrame) -> DataFrame:
+    """Adds reach, the number of the class's tiles: of near copies the least edited has most, as
+    an edit puts shingles of its own among the rarest."""
+    reach = settled(tiles.groupBy("cid").agg(F.count("*").cast("int").alias("reach")))
+    return tiles.join(reach, "cid")
+
+
 def _to_one(tiles: DataFrame, turn: int) -> DataFrame:
     """Pairs of each class with one of its tile, which is another in every turn.
 
-    Half of the tiles choose in one order of the classes, half in another: tiles that hold the
-    same classes choose alike, so near copies bring few pairs.
+    At first with the class of most tiles, then with the one that is closest to what it was held
+    against: what near copies were made from is close to most of them, so these turns make most
+    of them one group. Else by chance, half of the tiles in one order of the classes, half in
+    another. Either way tiles that hold the same classes choose alike, so near copies bring few
+    pairs.
     """
     salt = F.xxhash64(F.lit(turn), F.pmod("key", F.lit(2)))
-    ranked = tiles.withColumn("rank", F.col("cid").bitwiseXOR(salt))
+    order = F.col("cid").bitwiseXOR(salt)
+    far = -F.col("reach") if turn == 0 else -F.coalesce("near", F.lit(0.0))
+    rank = F.struct(far.alias("far"), order.alias("order"))
     chosen = settled(
-        ranked.groupBy("key").agg(F.min("rank").alias("first"), F.count("*").alias("size")).where("size > 1").select("key", "first")
+        tiles.groupBy("key").agg(F.min(rank)["order"].alias("first"), F.count("*").alias("size")).where("size > 1").select("key", "first")
     )
     joined = tiles.join(chosen, "key").withColumn("hub", F.col("first").bitwiseXOR(salt))
     pairs = joined.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"), "group")
@@ -353,19 +369,28 @@ def _by_blocks(tiles: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
     A tile is dealt to blocks of about BLOCK classes and each block meets each, so no task
     holds a tile. Long texts are in many tiles, so their bitmaps go there folded; pairs that
     pass are held against the whole bitmaps once, when they are verified.
+
+    Near copies share many tiles; a pair is compared in the first only: every class brings the
+    EARLIER first of its tiles (before the one it is in), and a pair that shares one of them is
+    left to it. A pair whose first common tile lies further on may come more than once.
     """
     sizes = settled(tiles.groupBy("key").agg(F.count("*").alias("size")))
     sized = tiles.join(sizes, "key")
     small = _in_small_tiles(sized.where(F.col("size") <= SMALL), classes, like)
+    large = sized.where(F.col("size") > SMALL)
+    first = settled(
+        large.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list("key")), 1, EARLIER).alias("first"))
+    )
     dealt = (
-        sized.where(F.col("size") > SMALL)
-        .join(classes.select("cid", "n", _rough(F.col("bits")).alias("bits")), "cid")
+        large.join(classes.select("cid", "n", _rough(F.col("bits")).alias("bits")), "cid")
+        .join(first, "cid")
+        .withColumn("earlier", F.filter("first", lambda k: k < F.col("key")))
         .withColumn("blocks", F.ceil(F.col("size") / BLOCK))
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     )
     blocks = settled(
         dealt.groupBy("key", "blocks", "block").agg(
-            F.sort_array(F.collect_list(F.struct("n", "cid", "group", "bits"))).alias("held")
+            F.sort_array(F.collect_list(F.struct("n", "cid", "group", "bits", "earlier"))).alias("held")
         )
     )
     alone = blocks.where("blocks = 1").select("held", F.col("held").alias("other"))
@@ -377,21 +402,39 @@ def _by_blocks(tiles: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def columns(cell: pa.ListScalar) -> tuple[np.ndarray, ...]:
-            n, cid, group, bits = cell.values.flatten()
+            n, cid, group, bits, earlier = cell.values.flatten()
             # unsigned: numpy counts the bits of a negative number's absolute value
             maps = [np.asarray(x.values).view(np.uint64) for x in bits]
-            return n.to_numpy(), cid.to_numpy(), group.to_numpy(), maps
+            keys = earlier.flatten().to_numpy()
+            rows = np.repeat(np.arange(len(n)), earlier.value_lengths().to_numpy())
+            return n.to_numpy(), cid.to_numpy(), group.to_numpy(), maps, rows, keys
+
+        def met_before(n: int, rows: np.ndarray, keys: np.ndarray, m: int, rows2: np.ndarray, keys2: np.ndarray) -> np.ndarray:
+            """Of each two (n x m) whether they share an earlier tile."""
+            both = np.intersect1d(keys, keys2)
+            marks = []
+            for size, at, key in ((n, rows, keys), (m, rows2, keys2)):
+                mark = np.zeros((size, len(both)), np.float32)
+                place = np.minimum(np.searchsorted(both, key), max(len(both) - 1, 0))
+                known = both[place] == key if len(both) else np.zeros(len(key), bool)
+                mark[at[known], place[known]] = 1
+                marks.append(mark)
+            return marks[0] @ marks[1].T > 0
 
         for batch in batches:
             left, right = [], []
             for i in range(len(batch)):
-                n, cid, group, bits = columns(batch.column("held")[i])
-                m, cid2, group2, bits2 = columns(batch.column("other")[i])
+                n, cid, group, bits, rows, keys = columns(batch.column("held")[i])
+                m, cid2, group2, bits2, rows2, keys2 = columns(batch.column("other")[i])
+                before = met_before(len(n), rows, keys, len(m), rows2, keys2)
+                same = np.array_equal(cid, cid2)
                 for k in range(len(n)):
                     # The other block is in the order of sizes: the band that fits is a run.
                     lo = np.searchsorted(m, -(-n[k] * like.percent // 100))
                     hi = np.searchsorted(m, n[k] * 100 // like.percent, "right")
-                    apart = lo + np.flatnonzero(group2[lo:hi] != group[k])
+                    if same:  # a block meets itself: each two once
+                        lo = max(lo, k + 1)
+                    apart = lo + np.flatnonzero((group2[lo:hi] != group[k]) & ~before[k, lo:hi])
                     differ = np.zeros(len(apart), np.int64)
                     for size in {len(bits2[j]) for j in apart}:
                         own = [i for i, j in enumerate(apart) if len(bits2[j]) == size]
@@ -426,12 +469,15 @@ def _rooted(docs: DataFrame, like: Similarity, id_column: str, text_column: str)
     shared = settled(
         rows.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo <> hi").select("key")
     )
-    tiles = settled(rows.join(shared, "key", "left_semi").select("key", "cid").distinct())
+    tiles = settled(_with_reach(settled(rows.join(shared, "key", "left_semi").select("key", "cid").distinct())))
     links, groups = None, None
     for turn in range(ROUNDS):
         found = settled(verified(_to_one(settled(_grouped(tiles, groups)), turn), texts, classes, like))
         links = found if links is None else links.unionByName(found)
         groups = components(links)
+        if turn + 1 < ROUNDS:
+            near = settled(found.groupBy(F.col("b").alias("node")).agg(F.max("near").alias("near")))
+            groups = groups.join(near, "node", "left")
         if turn == 0:
             tiles = settled(_of_three(tiles))
     left = settled(_grouped(tiles, groups))
