@@ -13,10 +13,12 @@ Method: a variable-length gram index (VGRAM).
    start in the ``Q_MAX`` positions up to it, so a word ``s`` with ``|G(s)|`` grams keeps
    at least ``|G(s)| - NAG(s)`` of them in any word one edit away, where ``NAG(s)`` is the
    largest number of its grams that start in one such window.
-5. List merging with that bound: a word one edit away must hold at least one of any
-   ``NAG(s) + 1`` of ``s``'s grams, so ``s`` probes only the inverted lists of its
-   ``NAG(s) + 1`` rarest grams; every word found there is verified by Spark's
-   ``levenshtein`` with a threshold of 1.
+5. Inverted lists with that bound: a word one edit away must hold at least one of any
+   ``NAG(s) + 1`` of ``s``'s grams, and one of any two that do not overlap. So each word
+   is listed under its rarest grams only, up to the first two that do not overlap
+   (``NAG(s) + 1`` at most); what comes before the rarest gram that both words keep is
+   changed by the one edit, so that gram is listed for both. Words that meet in a list
+   are verified by Spark's ``levenshtein`` with a threshold of 1.
 6. Words whose bound is 0 (too short for the count filter) are handled exactly by
    deletion neighbourhoods: a word and every copy of it with one code point deleted,
    joined against the same keys of all words, then verified alike.
@@ -123,6 +125,22 @@ def bounds(chosen: DataFrame) -> DataFrame:
     return sized.withColumn("nag", F.least(F.lit(Q_MAX), F.col("size")))
 
 
+def rarest_apart(chosen: DataFrame) -> DataFrame:
+    """word, gram, i: of each word its rarest grams up to the first two that do not overlap.
+
+    All words order grams alike (frequency, gram, place). One edit cannot change two grams
+    that do not overlap: a gram reaches only over its own code points, as one that could be
+    longer is longer wherever a code point follows it.
+    """
+    rarest = Window.partitionBy("word").orderBy("freq", "gram", "i")  # one word's grams
+    before = rarest.rowsBetween(Window.unboundedPreceding, -1)
+    end = F.min(F.col("i") + F.char_length("gram")).over(before)
+    apart = F.max("i").over(before) >= end
+    return (
+        chosen.withColumn("_apart", F.coalesce(apart, F.lit(False))).where(~F.col("_apart")).select("word", "gram", "i")
+    )
+
+
 def _verified(pairs: DataFrame) -> DataFrame:
     close = F.abs(F.char_length("a") - F.char_length("b")) <= 1
     return pairs.where(close & (F.col("a") != F.col("b"))).where(
@@ -134,23 +152,16 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """All pairs (a, b) of vocabulary words one edit apart, both directions."""
     chosen, _ = decompose(words.select("word"))
     sized = settled(bounds(chosen))
-    # probes: the NAG + 1 rarest gram occurrences of every word with a positive bound.
-    # A kept gram of s sits in t at its place or one off (lengths differ by one at most,
-    # checked after the join), so a probe meets only postings of its gram at place +-1.
-    rarest = Window.partitionBy("word").orderBy("freq", "gram", "i")  # one word's grams
+    # A kept gram of a word sits in the other at its place or one off (lengths differ by one
+    # at most, checked after the join), so a probe meets only listings of its gram there.
+    listed = settled(rarest_apart(chosen.join(sized.where(F.col("size") > F.col("nag")).select("word"), "word", "left_semi")))
     shift = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
-    probes = (
-        chosen.join(sized.where(F.col("size") > F.col("nag")), "word")
-        .withColumn("_r", F.row_number().over(rarest))
-        .where(F.col("_r") <= F.col("nag") + 1)
-        .select(F.col("word").alias("a"), "gram", "i", shift.alias("_di"))
-        .select("a", "gram", (F.col("i") + F.col("_di")).alias("i"))
+    probes = listed.select(F.col("word").alias("a"), "gram", "i", shift.alias("_di")).select(
+        "a", "gram", (F.col("i") + F.col("_di")).alias("i")
     )
     # Both ends of a pair between words with a bound find each other: each pair is
     # verified once (a < b), and duplicates go after the verification, among few rows.
-    bounded = chosen.join(sized.where(F.col("size") > F.col("nag")).select("word"), "word", "left_semi")
-    postings = bounded.select(F.col("word").alias("b"), "gram", "i")
-    met = probes.join(postings, ["gram", "i"]).where(F.col("a") < F.col("b"))
+    met = probes.join(listed.withColumnRenamed("word", "b"), ["gram", "i"]).where(F.col("a") < F.col("b"))
     by_grams = _verified(met.select("a", "b")).distinct()
     # the rest: deletion neighbourhoods, exact for one edit
     # a word without a positive bound has |G| <= Q_MAX, so at most SHORT code points;

@@ -83,3 +83,13 @@ def test_given_documents_as_by_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert rows_of(variants(docs)) == brute(rows)
+
+
+def test_words_are_listed_under_their_rarest_grams_up_to_two_apart(spark):
+    """Of aabbccdd the two rarest grams do not overlap; of xyxyxy it takes four."""
+    rows = [("aabbccdd", i, g, f) for i, (g, f) in enumerate(zip(
+        ["aabb", "abbc", "bbcc", "bccd", "ccdd", "cdd", "dd"], [1, 9, 9, 9, 2, 9, 9]))]
+    rows += [("xyxyxy", i, g, f) for i, (g, f) in enumerate(zip(["xyx", "yxyx", "xyxy", "yxy", "xy"], [3, 1, 2, 9, 9]))]
+    chosen = spark.createDataFrame(rows, "word string, i int, gram string, freq long")
+    listed = {(r.word, r.i) for r in spelling.rarest_apart(chosen).collect()}
+    assert listed == {("aabbccdd", 0), ("aabbccdd", 4), ("xyxyxy", 0), ("xyxyxy", 1), ("xyxyxy", 2), ("xyxyxy", 4)}
