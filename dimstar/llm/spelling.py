@@ -2,8 +2,8 @@
 
 Method: a variable-length gram index (VGRAM).
 
-1. Words and counts: every maximal run of Latin letters is a word occurrence; the
-   counts of distinct words are combined before their shuffle.
+1. Words and counts: every maximal run of Latin letters is a word occurrence; tasks
+   count the runs of their texts (those long enough to be words) before the shuffle.
 2. A frequency-pruned gram dictionary: all grams of ``Q_MIN`` code points are in it;
    a gram shorter than ``Q_MAX`` that occurs more than ``FREQUENT`` times has its
    one-longer extensions in it as well, so frequent grams give way to rarer, longer ones.
@@ -17,7 +17,9 @@ Method: a variable-length gram index (VGRAM).
    ``NAG(s) + 1`` of ``s``'s grams, and one of any two that do not overlap. So each word
    is listed under its rarest grams only, up to the first two that do not overlap
    (``NAG(s) + 1`` at most); what comes before the rarest gram that both words keep is
-   changed by the one edit, so that gram is listed for both. Words that meet in a list
+   changed by the one edit, so that gram is listed for both. A kept gram lies wholly
+   before or wholly behind the edit, so the words agree in all that comes up to its end,
+   or in all from its start on: lists are cut by that text, and words that meet in one
    are verified by Spark's ``levenshtein`` with a threshold of 1.
 6. Words whose bound is 0 (too short for the count filter) are handled exactly by
    deletion neighbourhoods: a word and every copy of it with one code point deleted,
@@ -36,14 +38,17 @@ columns are ignored.
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimstar.session import settled
 
-RUN = r"[A-Za-z\x{00C0}-\x{00FF}]+"
-GAP = r"[^A-Za-z\x{00C0}-\x{00FF}]+"  # what lies between runs: splitting on it gives them
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MIN_CHARS = 5
 MIN_COUNT = 3
 DELETE_MOD = 97
@@ -51,29 +56,49 @@ Q_MIN = 2
 Q_MAX = 4
 FREQUENT = 64  # a gram in more words than this is extended, up to Q_MAX
 SHORT = Q_MAX + Q_MIN - 1  # the longest word whose count bound can be 0
+RUN = rf"[a-z\u00C0-\u00FF]{{{MIN_CHARS},}}"  # of lower-cased texts; shorter runs are no words
+_FLUSH = 400_000
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """One row per run: the lower-cased run, with one code point deleted where 97 divides h."""
-    # lower-cased once per text; splitting on what lies between runs gives the runs
-    lowered = F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower())
-    runs = docs.select("doc_id", F.explode(F.split(lowered, GAP)).alias("run")).where(
-        F.col("run") != ""
-    )
-    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")))
-    cut = F.expr("concat(substring(run, 1, _at), substring(run, _at + 2))")
-    return (
-        runs.withColumn("_h", h)
-        .withColumn("_at", (F.col("_h") % F.char_length("run")).cast("int"))
-        .select(
-            F.when((F.col("_h") % DELETE_MOD) == 0, cut).otherwise(F.col("run")).alias("word")
-        )
-    )
+    """word, n: runs of MIN_CHARS code points at least, lower-cased, with one code point deleted
+    where 97 divides h; a row for each word and task, or more where a task holds very many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, counts = re.compile(RUN).findall, Counter()
+
+        def emitted() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"]
+            )
+            counts.clear()
+            return out
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                # bytes lower-case A-Z only
+                runs = find(text.as_py().lower().decode("utf-8", "replace"))
+                counts.update(runs)
+                if doc_id is not None:
+                    before = zlib.crc32(f"{doc_id}:".encode())
+                    for word in set(runs):
+                        h = zlib.crc32(word.encode(), before)
+                        if h % DELETE_MOD == 0:
+                            n, at = runs.count(word), h % len(word)
+                            counts[word] -= n
+                            counts[word[:at] + word[at + 1 :]] += n
+                if len(counts) > _FLUSH:
+                    yield emitted()
+        yield emitted()
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text.alias("text"))
+    return texts.mapInArrow(run, "word string, n long")
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
     """word and n for words of at least MIN_CHARS code points seen at least MIN_COUNT times."""
-    counted = occurrences(docs).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counted = occurrences(docs).groupBy("word").agg(F.sum("n").alias("n"))
     return counted.where((F.char_length("word") >= MIN_CHARS) & (F.col("n") >= MIN_COUNT))
 
 
@@ -141,6 +166,15 @@ def rarest_apart(chosen: DataFrame) -> DataFrame:
     )
 
 
+def _in_context(listed: DataFrame) -> DataFrame:
+    """word, key: a hash of a listed gram's length with the text up to its end, and one with the
+    text from its start on. Verification follows, so hashes that clash add no pairs."""
+    q = F.char_length("gram")
+    before = F.xxhash64(F.lit("<"), q, F.expr("substring(word, 1, i + char_length(gram))"))
+    behind = F.xxhash64(F.lit(">"), q, F.expr("substring(word, i + 1)"))
+    return listed.select("word", F.explode(F.array(before, behind)).alias("key"))
+
+
 def _verified(pairs: DataFrame) -> DataFrame:
     close = F.abs(F.char_length("a") - F.char_length("b")) <= 1
     return pairs.where(close & (F.col("a") != F.col("b"))).where(
@@ -152,17 +186,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """All pairs (a, b) of vocabulary words one edit apart, both directions."""
     chosen, _ = decompose(words.select("word"))
     sized = settled(bounds(chosen))
-    # A kept gram of a word sits in the other at its place or one off (lengths differ by one
-    # at most, checked after the join), so a probe meets only listings of its gram there.
-    listed = settled(rarest_apart(chosen.join(sized.where(F.col("size") > F.col("nag")).select("word"), "word", "left_semi")))
-    shift = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
-    probes = listed.select(F.col("word").alias("a"), "gram", "i", shift.alias("_di")).select(
-        "a", "gram", (F.col("i") + F.col("_di")).alias("i")
-    )
+    bounded = sized.where(F.col("size") > F.col("nag")).select("word")
+    listed = settled(_in_context(rarest_apart(chosen.join(bounded, "word", "left_semi"))))
     # Both ends of a pair between words with a bound find each other: each pair is
     # verified once (a < b), and duplicates go after the verification, among few rows.
-    met = probes.join(listed.withColumnRenamed("word", "b"), ["gram", "i"]).where(F.col("a") < F.col("b"))
-    by_grams = _verified(met.select("a", "b")).distinct()
+    met = listed.select("key", F.col("word").alias("a")).join(
+        listed.select("key", F.col("word").alias("b")), "key"
+    )
+    by_grams = _verified(met.where(F.col("a") < F.col("b")).select("a", "b")).distinct()
     # the rest: deletion neighbourhoods, exact for one edit
     # a word without a positive bound has |G| <= Q_MAX, so at most SHORT code points;
     # only words one longer than that can be its partners

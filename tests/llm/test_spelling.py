@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from dimstar.llm import spelling
 from dimstar.llm.spelling import variants
@@ -93,3 +94,27 @@ def test_words_are_listed_under_their_rarest_grams_up_to_two_apart(spark):
     chosen = spark.createDataFrame(rows, "word string, i int, gram string, freq long")
     listed = {(r.word, r.i) for r in spelling.rarest_apart(chosen).collect()}
     assert listed == {("aabbccdd", 0), ("aabbccdd", 4), ("xyxyxy", 0), ("xyxyxy", 1), ("xyxyxy", 2), ("xyxyxy", 4)}
+
+
+def test_words_meet_only_where_the_text_beside_a_listed_gram_agrees(spark):
+    """Words of one rare gram at one place, but with other text on both sides, are not verified
+    against each other; an edit behind, before or at either end of the gram loses no pair."""
+    apart = [(f"{a}{b}wxyz{b}{a}", 2, "wxyz", 1) for a in "abcdefgh" for b in "ijklmnop"]
+    near = [("ababwxyzcdcd", 4), ("ababwxyzcdcde", 4), ("bababwxyzcdcd", 5), ("ababwxyzcdd", 4)]
+    rows = apart + [(w, i, "wxyz", 1) for w, i in near]
+    keys = spelling._in_context(spark.createDataFrame(rows, "word string, i int, gram string, freq long"))
+    met = keys.join(keys.withColumnRenamed("word", "b"), "key").where("word < b").select("word", "b").distinct()
+    words = [w for w, _ in near]
+    want = {(a, b) for a in words for b in words if a < b and one_edit(a, b)}
+    assert len(want) >= 3 and want <= {tuple(r) for r in met.collect()}
+    # of the 2,016 pairs of the others none has an equal side
+    assert met.where(~F.col("word").isin(words)).count() == 0
+
+
+def test_tasks_count_runs_before_the_shuffle(spark, monkeypatch):
+    """A row for each word and task, also where counts are handed on early; null ids cut nothing."""
+    rows = [(i if i % 5 else None, f"Éclair éclair ÉCLAIR straße HOUSE house{i % 3}house a bc def ghij") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert spelling.occurrences(docs).count() < 100
+    monkeypatch.setattr(spelling, "_FLUSH", 2)
+    assert rows_of(variants(docs)) == brute(rows)
