@@ -45,6 +45,7 @@ LEAST_BITS = 1024
 ROUNDS = 2
 BLOCK, SMALL = 256, 8
 EARLIER = 32
+WORD = r"[^\x20\x09-\x0D]"
 _STORE = 400_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -518,14 +519,22 @@ def one_per_group(
     """The rows of ``docs`` that stay, with their columns: of each group the one with the
     smallest id (nulls last, then the smallest text hash), and of repeated rows one. Groups are
     told apart by their links, not by their ids; all rows without shingles stay."""
-    signed, rooted = _rooted(docs, like, id_column, text_column)
+    _, rooted = _rooted(docs, like, id_column, text_column)
     one = settled(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash"))
+    text = F.col(text_column).cast("string")
+    # The join's keys are columns that the removal of repeated rows names again, so whole rows
+    # are shuffled once for both; rows without a word need no join.
+    keys = ["no_id", "own_id", "text_hash"]
     rows = docs.select(
         F.struct("*").alias("row"),
-        F.col(id_column).alias("own_id"),
-        F.xxhash64(F.col(text_column).cast("string")).alias("own_hash"),
+        *_id_keys(F.col(id_column)),
+        F.xxhash64(text).alias("text_hash"),
+        F.coalesce(text, F.lit("")).rlike(WORD).alias("worded"),
     )
-    match = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
-    shingled = rows.join(one, match).dropDuplicates(["own_id", "own_hash"])
-    none = settled(signed.where("cid is null").select("doc_id", "text_hash").distinct())
-    return shingled.select("row.*").unionByName(rows.join(none, match, "left_semi").select("row.*"))
+    of_one = one.select(*_id_keys(F.col("doc_id")), "text_hash")
+    shingled = rows.where("worded").join(of_one, keys).dropDuplicates(keys)
+    return shingled.select("row.*").unionByName(rows.where("not worded").select("row.*"))
+
+
+def _id_keys(doc_id: Column) -> list[Column]:
+    return [doc_id.isNull().alias("no_id"), F.coalesce(doc_id.cast("string"), F.lit("")).alias("own_id")]

@@ -93,3 +93,19 @@ def test_every_group_keeps_one_text_whatever_its_ids(spark):
     assert set(left) <= set(rows) and sum(not t for _, t in left) == 3
     kept = sorted((t[0], doc_id or 0) for doc_id, t in left if t)
     assert kept == [("a", 0), ("b", 0), ("c", 0), ("d", 7), ("e", 7), ("f", 7), ("g", 9), ("h", 5)]
+
+
+def test_whole_rows_are_shuffled_once(spark):
+    """One exchange for the rows, one for the ids that stay, also where nothing is broadcast."""
+    docs = odd_documents(spark)
+    want = sorted(map(str, one_per_group(docs).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = one_per_group(docs)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, left.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert {r["doc_id"] for r in left.collect()} >= {3, 4, 5}
