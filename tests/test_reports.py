@@ -252,6 +252,33 @@ def test_credit_split(spark, base):
     ]
 
 
+def test_credit_in_whole_numbers_is_that_of_decimals(spark, base, monkeypatch):
+    """Halves, negative and missing measures, equal names, and values only decimals can hold."""
+    tables = credit_tables(spark, base)
+    bridge = [(1, 1, 3, "0.650", True), (1, 2, 3, "0.350", True), (1, 2, 3, "0.350", True), (1, 1, 1, None, True)]
+    tables["bridge_hcp_rep_alignment"] = frame(
+        spark, "group_key bigint, rep_key bigint, product_key bigint, w string, is_current boolean", bridge
+    ).withColumn("credit_split_weight", F.col("w").cast("decimal(4,3)"))
+    counted = [(7, 110), (-7, -110), (-3, 30), (13, 130), (None, 90), (1, -10), (0, 0), (7, 110)]
+    weeks = [rx(D(2024, 1, 7) + dt.timedelta(weeks=i), 4, n, units=u, group=1) for i, (n, u) in enumerate(counted)]
+
+    def both(factor):
+        units = F.col("total_units") * F.lit(factor).cast("bigint")
+        tables["fct_prescription_weekly"] = frame(spark, RX, weeks).withColumn("total_units", units)
+        got = r.co_promotion_credit(tables, current_only=True)
+        with monkeypatch.context() as patched:
+            patched.setattr(r, "_fits_whole_units", lambda *_: False)
+            want = r.co_promotion_credit(tables, current_only=True)
+        assert got.schema == want.schema
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+        return got
+
+    out = both(1).filter("credit_split_weight = 0.650")
+    # 4.55 twice, -4.55, -1.95, 8.45, 0.65, 0; units: 71.5 twice, -71.5, 19.5, 84.5, 58.5, -6.5, 0
+    assert rows(out, "rep_name", "total_attributed_rx", "total_attributed_units") == [("Ann", Dec("11.8"), Dec(229))]
+    both(10**15)
+
+
 def test_reports_read_what_earlier_versions_recorded(spark, base):
     """Two versions of one HCP and of one rep: all rows by default, the last version's by choice."""
     hcps = frame(spark, HCP, [
